@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions.columns import is_weekday
 from flowgauge.schema import CASE_STATUSES, COMPLETED, MILESTONES, PHASE_COLUMNS, TOTAL
+from flowgauge.session import settle
 
 REQUIRED = ("event_id", "facility_id", "procedure_type", *MILESTONES)
 
@@ -75,8 +76,11 @@ def with_violations(df: DataFrame, rules: Mapping[str, Column] | None = None) ->
 def split_by_quality(
     df: DataFrame, rules: Mapping[str, Column] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The valid rows, and the quarantined rows with the rules they break."""
-    checked = with_violations(df, rules)
+    """The valid rows, and the quarantined rows with the rules they break.
+
+    The rules run once, for both halves.
+    """
+    checked = settle(with_violations(df, rules), "checked")
     valid = checked.filter(F.size("violations") == 0).drop("violations")
     return valid, checked.filter(F.size("violations") > 0)
 

@@ -37,6 +37,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_LOAD = datetime(1998, 1, 1)
 FIRST_RUN, SECOND_RUN = datetime(1998, 1, 2), datetime(2002, 1, 1)
 
+# What the group statistics read of a case besides its durations, and what a site's do.
+GROUP_COLUMNS = ("event_id", *KEYS, "case_status", "scheduled_start_time", "op_start_time")
+SITE_COLUMNS = ("facility_id", "case_status", "dur_total")
+RECOVERY_COLUMNS = ("event_id", "case_status", "dur_postop_to_discharge")
+
 # Trees per model in the registered queries; the operators' own default is 100.
 QUERY_TREES = 20
 
@@ -54,8 +59,10 @@ def without_zone(df: DataFrame) -> DataFrame:
 
 def _groups(spark: SparkSession, sf_dir: str, statistics: Sequence[str], columns=DURATIONS) -> DataFrame:
     """Group statistics; percentiles read the cases several times, so these are settled."""
-    several_passes = bool(set(statistics) & set(aggregate.PERCENTILES))
-    cases = view.settled_cases(spark, sf_dir) if several_passes else view.timed_cases(spark, sf_dir)
+    if set(statistics) & set(aggregate.PERCENTILES):
+        cases = view.settled_cases(spark, sf_dir, (*GROUP_COLUMNS, *columns))
+    else:
+        cases = view.timed_cases(spark, sf_dir)
     return aggregate.aggregates(cases, columns=columns, statistics=statistics)
 
 
@@ -146,7 +153,7 @@ def bottleneck_phase(spark, sf_dir):
 
 
 def facility_summary(spark, sf_dir):
-    return rounded(aggregate.facility_overview(view.settled_cases(spark, sf_dir)))
+    return rounded(aggregate.facility_overview(view.settled_cases(spark, sf_dir, SITE_COLUMNS)))
 
 
 def cancellation_rate(spark, sf_dir):
@@ -188,7 +195,7 @@ def top20_volume(spark, sf_dir):
 
 
 def _findings(spark, sf_dir) -> DataFrame:
-    cases = view.settled_cases(spark, sf_dir)
+    cases = view.settled_cases(spark, sf_dir, (*GROUP_COLUMNS, *DURATIONS))
     wanted = aggregate.aggregates(cases, statistics=("mean", "std"))
     p90 = aggregate.aggregates(cases, columns=("dur_total",), statistics=("p90",))
     groups = settle(wanted.join(p90.select(*KEYS, "dur_total_p90"), list(KEYS)), "groups")
@@ -208,7 +215,7 @@ def insight_totals(spark, sf_dir):
 
 
 def _kpi(spark, sf_dir) -> DataFrame:
-    cases = view.settled_cases(spark, sf_dir)
+    cases = view.settled_cases(spark, sf_dir, SITE_COLUMNS)
     return report.kpi_row(aggregate.facility_overview(cases), aggregate.cancellation_rate(cases))
 
 
@@ -221,7 +228,8 @@ def status_distribution(spark, sf_dir):
 
 
 def facility_chart(spark, sf_dir):
-    return report.facility_chart(aggregate.facility_overview(view.settled_cases(spark, sf_dir)))
+    cases = view.settled_cases(spark, sf_dir, SITE_COLUMNS)
+    return report.facility_chart(aggregate.facility_overview(cases))
 
 
 # --- data quality ------------------------------------------------------------
@@ -460,7 +468,7 @@ def stored_analysis(spark, sf_dir):
 
 
 def extended_recovery_label(spark, sf_dir):
-    labelled = aggregate.with_extended_recovery(view.settled_cases(spark, sf_dir))
+    labelled = aggregate.with_extended_recovery(view.settled_cases(spark, sf_dir, RECOVERY_COLUMNS))
     return labelled.select("event_id", "extended_recovery")
 
 
@@ -470,7 +478,7 @@ def train_test_split(spark, sf_dir):
 
 
 def class_balance(spark, sf_dir):
-    labelled = aggregate.with_extended_recovery(view.settled_cases(spark, sf_dir))
+    labelled = aggregate.with_extended_recovery(view.settled_cases(spark, sf_dir, RECOVERY_COLUMNS))
     return rounded(aggregate.class_balance(labelled.filter(~C.in_test_fold())))
 
 
@@ -481,12 +489,13 @@ def eval_regression(spark, sf_dir):
 
 
 def eval_auc(spark, sf_dir):
-    labelled = aggregate.with_extended_recovery(view.settled_cases(spark, sf_dir))
+    columns = (*RECOVERY_COLUMNS, "op_start_time", "dur_checkin_to_preop", "dur_op_to_postop")
+    labelled = aggregate.with_extended_recovery(view.settled_cases(spark, sf_dir, columns))
     known = F.col("dur_checkin_to_preop") * 3 + F.col("dur_op_to_postop") + F.hour("op_start_time")
     return rounded(area_under_roc(labelled.withColumn("risk", known), "extended_recovery", "risk"), 6)
 
 
-MODEL_COLUMNS = (*view.STATISTIC_COLUMNS, "checkin_time", "anesthesia_type", "asa_class")
+MODEL_COLUMNS = ("event_id", *KEYS, "case_status", "checkin_time", "anesthesia_type", "asa_class", *DURATIONS)
 
 
 def _prepared(spark, sf_dir):

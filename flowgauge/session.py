@@ -18,6 +18,8 @@ def local_session(name: str = "flowgauge", cores: str = "*", shuffle_partitions:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        # small row groups, so that all local cores share an intermediate table of a few MB
+        .config("spark.hadoop.parquet.block.size", str(4 << 20))
         .getOrCreate()
     )
 

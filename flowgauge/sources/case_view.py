@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions.columns import add_minutes
 from flowgauge.operators.derive import with_durations
-from flowgauge.schema import CASE_STATUSES, DURATIONS
+from flowgauge.schema import CASE_STATUSES
 from flowgauge.session import settle
 
 
@@ -113,19 +113,7 @@ def timed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_durations(case_events(spark, sf_dir))
 
 
-# What the multi-pass statistics read of a case.
-STATISTIC_COLUMNS = (
-    "event_id",
-    "facility_id",
-    "procedure_type",
-    "case_status",
-    "scheduled_start_time",
-    "op_start_time",
-    *DURATIONS,
-)
-
-
-def settled_cases(spark: SparkSession, sf_dir: str, columns: Sequence[str] = STATISTIC_COLUMNS) -> DataFrame:
+def settled_cases(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
     """Timed cases written once, for operators that read them several times."""
     return settle(timed_cases(spark, sf_dir).select(*columns), "cases")
 
