@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 MICROSECONDS_PER_MINUTE = 6e7
 
 
-def minutes_between(start, end) -> Column:
-    """Elapsed minutes with their fraction; works with and without time zone."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(MICROSECONDS_PER_MINUTE)
+def minutes_between(start, end, zoned: bool = False) -> Column:
+    """Elapsed minutes with their fraction.
+
+    For timestamps with time zone, ``zoned`` compares the instants themselves, so a change
+    of the clock in between does not count.
+    """
+    if zoned:
+        elapsed = F.unix_micros(end) - F.unix_micros(start)
+    else:
+        elapsed = F.timestamp_diff("MICROSECOND", start, end)
+    return elapsed / F.lit(MICROSECONDS_PER_MINUTE)
 
 
 def add_minutes(timestamp, minutes) -> Column:

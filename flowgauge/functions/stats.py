@@ -9,13 +9,25 @@ from pyspark.sql import functions as F
 
 from flowgauge.session import settle
 
-# Default bin of a duration in minutes: one second, so a bin of microsecond
-# timestamps holds at most a million distinct values.
+# Values up to 86,400 bins from zero fall into bins of equal width, by default a second of
+# a duration in minutes; larger ones into 4,096 bins per doubling. So a group has a bounded
+# number of bins, and a bin of a second has at most a million distinct microseconds.
 ONE_SECOND = 1 / 60
+EVEN_BINS = 86_400
+BINS_PER_DOUBLING = 4_096
+
+
+def _bin(value: Column, width: float) -> Column:
+    """A whole number that never decreases as the value grows."""
+    size = F.abs(value)
+    even = F.floor(size / F.lit(width))
+    wide = EVEN_BINS + F.floor(F.log2(size / F.lit(EVEN_BINS * width)) * BINS_PER_DOUBLING)
+    number = F.when(even < EVEN_BINS, even).otherwise(wide)
+    return F.when(value < 0, -1 - number).otherwise(number)
 
 
 def _measurements(df: DataFrame, keys: Sequence[str], columns: Sequence[str], bin_width: float) -> DataFrame:
-    """One row per non-null value of each column, with its bin number."""
+    """One row per known value of each column, with its bin number."""
     pairs = F.array(
         *[
             F.struct(F.lit(name).alias("metric"), F.nanvl(F.col(name).cast("double"), F.lit(None)).alias("value"))
@@ -26,7 +38,7 @@ def _measurements(df: DataFrame, keys: Sequence[str], columns: Sequence[str], bi
         df.select(*keys, F.explode(pairs).alias("m"))
         .select(*keys, "m.metric", "m.value")
         .filter(F.col("value").isNotNull())
-        .withColumn("bin", F.floor(F.col("value") / F.lit(bin_width)))
+        .withColumn("bin", _bin(F.col("value"), bin_width))
     )
 
 

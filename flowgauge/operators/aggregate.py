@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions.columns import late_start, ratio
 from flowgauge.functions.stats import exact_percentiles
-from flowgauge.operators.derive import completed_only
+from flowgauge.operators.derive import as_timestamps, completed_only
 from flowgauge.schema import CANCELED, COMPLETED, DURATIONS, KEYS, PHASES, STATISTICS
 
 PERCENTILES = {"median": 0.5, "p90": 0.9}
@@ -54,6 +54,7 @@ def aggregates(
             ]
     measures.append(F.count("event_id").alias("case_volume"))
     if "scheduled_start_time" in cases.columns:
+        cases = as_timestamps(cases, ("op_start_time", "scheduled_start_time"))
         measures.append(F.avg(late_start().cast("double")).alias("late_start_rate"))
     groups = cases.groupBy(*keys).agg(*measures)
 

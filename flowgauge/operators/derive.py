@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgauge.functions.columns import clamp, day_of_week, hour_of_day, late_start, minutes_between
-from flowgauge.schema import COMPLETED, DURATIONS, MILESTONES, PHASES, TOTAL, TRANSFER_COLUMNS
+from flowgauge.schema import COMPLETED, DURATIONS, MILESTONES, PHASES, TOTAL, TRANSFER_SCHEMA
 from flowgauge.fixed_values import DURATION_BOUNDS
 
 
@@ -29,13 +29,19 @@ def as_timestamps(df: DataFrame, columns: Sequence[str] = MILESTONES, lenient: b
     )
 
 
+def elapsed_minutes(df: DataFrame, start: str, end: str) -> Column:
+    """Minutes between two columns of ``df``, by the kind of timestamps they hold."""
+    zoned = all(isinstance(df.schema[name].dataType, T.TimestampType) for name in (start, end))
+    return minutes_between(start, end, zoned)
+
+
 def with_durations(df: DataFrame) -> DataFrame:
     """Add the four phase durations and the total, in minutes, unless they are there."""
-    df = as_timestamps(df)
+    df = as_timestamps(df, (*MILESTONES, "scheduled_start_time"))
     if DURATIONS[0] in df.columns:
         return df
     return df.withColumns(
-        {phase.column: minutes_between(phase.start, phase.end) for phase in (*PHASES, TOTAL)}
+        {phase.column: elapsed_minutes(df, phase.start, phase.end) for phase in (*PHASES, TOTAL)}
     )
 
 
@@ -69,5 +75,8 @@ def transfer_form(df: DataFrame) -> DataFrame:
     A source that lacks some of them gets nulls there.
     """
     return df.select(
-        *[F.col(name) if name in df.columns else F.lit(None).alias(name) for name in TRANSFER_COLUMNS]
+        *[
+            F.col(field.name) if field.name in df.columns else F.lit(None).cast(field.dataType).alias(field.name)
+            for field in TRANSFER_SCHEMA
+        ]
     )

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.functions.columns import hour_of_day, is_weekday, minutes_between, ratio
+from flowgauge.functions.columns import hour_of_day, is_weekday, ratio
 from flowgauge.functions.stats import exact_percentiles, with_share
-from flowgauge.operators.derive import completed_only
+from flowgauge.operators.derive import completed_only, elapsed_minutes
 from flowgauge.operators.enrich import with_catalog
 from flowgauge.fixed_values import DEFAULT_BIAS
 from flowgauge.schema import CASE_STATUSES, COMPLETED, PHASE_COLUMNS
@@ -64,10 +64,24 @@ def lognormal_drift(fit: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
-def hourly_profile(df: DataFrame, timestamp: str = "checkin_time") -> DataFrame:
-    """Number and share of check-ins per hour of day."""
+def beside_expected(observed: DataFrame, expected: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Add ``expected_share``, the normalised ``weight`` of each entry, and keep entries never seen.
+
+    Both sides are summaries; ``expected`` has the keys and a ``weight``.
+    """
+    if expected is None:
+        return observed
+    shares = with_share(expected.select(*keys, "weight"), "weight", "expected_share", keys[:-1]).drop("weight")
+    return observed.join(shares, list(keys), "full").na.fill(0)
+
+
+def hourly_profile(
+    df: DataFrame, timestamp: str = "checkin_time", expected: DataFrame | None = None
+) -> DataFrame:
+    """Number and share of check-ins per hour of day; ``expected`` has ``hour, weight``."""
     hours = df.filter(F.col(timestamp).isNotNull()).groupBy(hour_of_day(timestamp).alias("hour"))
-    return with_share(hours.agg(F.count(F.lit(1)).alias("n")))
+    shares = with_share(hours.agg(F.count(F.lit(1)).alias("n")))
+    return beside_expected(shares, expected, ["hour"])
 
 
 def calendar(daily: DataFrame, facility: str = "facility_id", day: str = "day") -> DataFrame:
@@ -165,21 +179,22 @@ def anesthesia_mix(df: DataFrame, catalog: DataFrame, expected: DataFrame | None
         .groupBy("service_line", "anesthesia_type")
         .agg(F.sum("cases").alias("cases"))
     )
-    if expected is not None:
-        observed = observed.join(expected, ["service_line", "anesthesia_type"], "full").na.fill(0, ["cases"])
-    return with_share(observed, "cases", "share", ["service_line"])
+    shares = with_share(observed, "cases", "share", ["service_line"])
+    return beside_expected(shares, expected, ["service_line", "anesthesia_type"])
 
 
-def asa_mix(df: DataFrame) -> DataFrame:
+def asa_mix(df: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """Number and share of cases per ASA class; ``expected`` has ``asa_class, weight``."""
     known = df.filter(F.col("asa_class").isNotNull())
-    return with_share(known.groupBy("asa_class").agg(F.count(F.lit(1)).alias("n")))
+    shares = with_share(known.groupBy("asa_class").agg(F.count(F.lit(1)).alias("n")))
+    return beside_expected(shares, expected, ["asa_class"])
 
 
 def schedule_deviation(
     df: DataFrame, keys: Sequence[str] = ("facility_id",), statuses: Sequence[str] = (COMPLETED,)
 ) -> DataFrame:
     """Minutes between scheduled and actual start: mean, deviation, median, p90."""
-    late = minutes_between("scheduled_start_time", "op_start_time")
+    late = elapsed_minutes(df, "scheduled_start_time", "op_start_time")
     cases = completed_only(df, statuses).na.drop(subset=list(keys)).withColumn("deviation", late)
     sizes = cases.groupBy(*keys).agg(
         F.count("deviation").alias("cases"),

@@ -39,8 +39,9 @@ def load_increment(
     spark = source.sparkSession
     runs = read_or_empty(spark, state_path, WATERMARK_SCHEMA)
     watermark = watermark_of(fold_watermarks(runs), source_id)
-    newest = source.agg(F.max("created_at").cast("timestamp")).first()[0]
-    pulled = rows_after(transfer_form(source), watermark, up_to=newest, strict=strict)
+    rows = transfer_form(source)
+    newest = rows.agg(F.max("created_at")).first()[0]
+    pulled = rows_after(rows, watermark, up_to=newest, strict=strict)
     inserted = insert_ignore(pulled, target_path)
     reached = max((moment for moment in (watermark, newest) if moment is not None), default=None)
     if reached is not None:

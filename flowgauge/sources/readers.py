@@ -101,7 +101,7 @@ def load_cases(spark: SparkSession, place: str, **database_options) -> DataFrame
     if place.endswith(".json"):
         return read_cases_json(spark, place)
     if place.endswith(".csv"):
-        return read_cases_csv(spark, place)
+        return read_raw_csv(spark, place)
     return spark.read.parquet(place)
 
 
