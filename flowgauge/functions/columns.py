@@ -89,10 +89,6 @@ def feature_title(name: Column) -> Column:
     return F.initcap(F.replace(plain, F.lit("_"), F.lit(" ")))
 
 
-def percent(fraction: Column, places: int = 1) -> Column:
-    return F.bround(fraction * 100, places)
-
-
 def display_time(timestamp) -> Column:
     return F.date_format(timestamp, "yyyy-MM-dd HH:mm:ss")
 

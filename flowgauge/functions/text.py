@@ -1,8 +1,4 @@
-"""Sentences from templates, and numbers as text.
-
-Numbers are rounded half to even before they are printed, because ``format_string``
-alone rounds half up.
-"""
+"""Numbers rounded for a reader, and sentences from templates."""
 
 from __future__ import annotations
 
@@ -12,9 +8,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def fixed(value: Column, places: int) -> Column:
+    """Text with ``places`` decimals, rounded half to even from the stored binary value.
+
+    ``round`` and ``bround`` decide by the printed decimals instead, so they differ for
+    numbers such as 209.05, which is stored slightly above the middle.
+    """
+    return F.replace(F.format_number(value.cast("double"), places), F.lit(","), F.lit(""))
+
+
+def nearest(value: Column, places: int) -> Column:
+    """The same rounding as a number."""
+    return fixed(value, places).cast("double")
+
+
+def percent(fraction: Column, places: int = 1) -> Column:
+    return nearest(fraction * 100, places)
+
+
 def whole(value: Column) -> Column:
     """Without decimals; an unknown number reads ``nan``."""
-    return F.when(value.isNull(), "nan").otherwise(F.format_string("%.0f", F.bround(value, 0)))
+    return F.coalesce(fixed(value, 0), F.lit("nan"))
 
 
 def grouped(value: Column) -> Column:
@@ -22,11 +36,11 @@ def grouped(value: Column) -> Column:
 
 
 def whole_percent(fraction: Column) -> Column:
-    return F.format_string("%.0f%%", F.bround(fraction * 100, 0))
+    return F.concat(fixed(fraction * 100, 0), F.lit("%"))
 
 
 def tenth_percent(fraction: Column) -> Column:
-    return F.format_string("%.1f%%", F.bround(fraction * 100, 1))
+    return F.concat(fixed(fraction * 100, 1), F.lit("%"))
 
 
 def fill(template: str, **values: Column) -> Column:

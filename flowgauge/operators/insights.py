@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowgauge import texts
 from flowgauge.functions.columns import graded, severity_rank
-from flowgauge.functions.text import fill, grouped, lookup, tenth_percent, whole, whole_percent
+from flowgauge.functions.text import fill, grouped, lookup, nearest, tenth_percent, whole, whole_percent
 from flowgauge.operators.aggregate import cancellation_rate, facility_overview, longest_phase
 from flowgauge.operators.ranking import most_late, most_variable, wide_gaps
 from flowgauge.schema import INSIGHT_SCHEMA
@@ -58,8 +58,8 @@ def high_variance(groups: DataFrame) -> DataFrame:
         {
             "facility": facility,
             "procedure": procedure,
-            "total_duration_std": F.bround(std, 1),
-            "coefficient_of_variation": F.bround(cv, 1),
+            "total_duration_std": nearest(std, 1),
+            "coefficient_of_variation": nearest(cv, 1),
         },
         {
             "title": fill(wording["title"], procedure=procedure),
@@ -89,7 +89,7 @@ def late_starts(groups: DataFrame) -> DataFrame:
         "late_starts",
         2,
         graded(rate, high=0.5),
-        {"facility": facility, "procedure": procedure, "late_start_rate": F.bround(rate, 3)},
+        {"facility": facility, "procedure": procedure, "late_start_rate": nearest(rate, 3)},
         {
             "title": fill(wording["title"], procedure=procedure),
             "message": fill(
@@ -116,8 +116,8 @@ def bottlenecks(groups: DataFrame, above_pct: float = 35) -> DataFrame:
         {
             "facility": facility,
             "phase": phase,
-            "phase_minutes": F.bround(worst, 1),
-            "phase_pct": F.bround(pct, 1),
+            "phase_minutes": nearest(worst, 1),
+            "phase_pct": nearest(pct, 1),
         },
         {
             "title": fill(wording["title"], phase=phase),
@@ -151,8 +151,8 @@ def cross_facility(groups: DataFrame) -> DataFrame:
         {
             "facility": slow,
             "procedure": procedure,
-            "gap_minutes": F.bround(gap, 1),
-            "gap_pct": F.bround(gap_pct, 1),
+            "gap_minutes": nearest(gap, 1),
+            "gap_pct": nearest(gap_pct, 1),
             "reference_facility": fast,
         },
         {
@@ -186,8 +186,8 @@ def facility_summaries(overview: DataFrame) -> DataFrame:
         F.lit("info"),
         {
             "facility": facility,
-            "avg_total_minutes": F.bround(mean, 1),
-            "p90_total_minutes": F.bround(p90, 1),
+            "avg_total_minutes": nearest(mean, 1),
+            "p90_total_minutes": nearest(p90, 1),
             "total_cases": cases,
         },
         {
@@ -215,7 +215,7 @@ def cancellations(rate_row: DataFrame) -> DataFrame:
         "cancellation_rate",
         6,
         graded(rate, high=0.05, medium=0.02),
-        {"rate": F.bround(rate, 4), "count": count, "total": total},
+        {"rate": nearest(rate, 4), "count": count, "total": total},
         {
             "title": F.lit(wording["title"]),
             "message": fill(

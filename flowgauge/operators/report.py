@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.fixed_values import INSIGHT_TABS
-from flowgauge.functions.columns import chart_label, feature_title, percent
+from flowgauge.functions.columns import chart_label, feature_title
+from flowgauge.functions.text import nearest, percent, whole_percent
 from flowgauge.operators.aggregate import phase_breakdown
 from flowgauge.operators.ranking import top_groups
 from flowgauge.schema import SEVERITY_ORDER
@@ -59,13 +60,13 @@ def summaries_of(insights: DataFrame) -> tuple[DataFrame, DataFrame]:
 def facility_chart(overview: DataFrame) -> DataFrame:
     """Case volume and mean duration per facility."""
     return overview.select(
-        "facility_id", "total_cases", F.bround("avg_total_minutes", 1).alias("avg_total_minutes")
+        "facility_id", "total_cases", nearest(F.col("avg_total_minutes"), 1).alias("avg_total_minutes")
     )
 
 
 def phase_chart(groups: DataFrame) -> DataFrame:
     long = phase_breakdown(groups)
-    return long.withColumn("mean_of_means", F.bround("mean_of_means", 1))
+    return long.withColumn("mean_of_means", nearest(F.col("mean_of_means"), 1))
 
 
 def phase_matrix(groups: DataFrame) -> DataFrame:
@@ -78,20 +79,20 @@ def top_procedures_chart(groups: DataFrame, k: int = 10) -> DataFrame:
     return top_groups(groups, "case_volume", k).select(
         chart_label("procedure_type", "facility_id").alias("label"),
         "case_volume",
-        F.bround("dur_total_mean", 1).alias("mean_minutes"),
-        F.bround("dur_total_p90", 1).alias("p90_minutes"),
+        nearest(F.col("dur_total_mean"), 1).alias("mean_minutes"),
+        nearest(F.col("dur_total_p90"), 1).alias("p90_minutes"),
     )
 
 
 def top_procedures_table(groups: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` largest groups; an unknown late-start rate reads as a dash."""
-    late = F.format_string("%.0f%%", F.bround(F.col("late_start_rate") * 100, 0))
+    late = whole_percent(F.col("late_start_rate"))
     return top_groups(groups, "case_volume", k).select(
         "facility_id",
         "procedure_type",
         "case_volume",
         *[
-            F.bround(f"dur_total_{name}", 1).alias(f"{name}_minutes")
+            nearest(F.col(f"dur_total_{name}"), 1).alias(f"{name}_minutes")
             for name in ("mean", "median", "p90", "std")
         ],
         F.when(F.col("late_start_rate").isNotNull(), late).otherwise("—").alias("late_starts"),

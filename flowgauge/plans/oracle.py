@@ -207,6 +207,11 @@ def _whole(value: str) -> str:
     return f"format('{{:.0f}}', {value})"
 
 
+def _near(value: str, places: int = 1) -> str:
+    """Rounded half to even from the stored binary value."""
+    return f"CAST(format('{{:.{places}f}}', {value}) AS DOUBLE)"
+
+
 def _finding(kind: str, severity: str, source: str, wording: dict[str, str], text: dict[str, str], **fields: str) -> str:
     common = {
         "facility": "VARCHAR",
@@ -275,8 +280,8 @@ def _insights() -> str:
             },
             facility="facility_id",
             procedure="procedure_type",
-            total_duration_std="round_even(dur_total_std, 1)",
-            coefficient_of_variation="round_even(cv, 1)",
+            total_duration_std=_near("dur_total_std", 1),
+            coefficient_of_variation=_near("cv", 1),
         ),
         _finding(
             "late_starts",
@@ -294,7 +299,7 @@ def _insights() -> str:
             },
             facility="facility_id",
             procedure="procedure_type",
-            late_start_rate="round_even(late_start_rate, 3)",
+            late_start_rate=_near("late_start_rate", 3),
         ),
         _finding(
             "bottleneck",
@@ -318,8 +323,8 @@ def _insights() -> str:
             },
             facility="facility_id",
             phase="phase",
-            phase_minutes="round_even(phase_minutes, 1)",
-            phase_pct="round_even(phase_pct, 1)",
+            phase_minutes=_near("phase_minutes", 1),
+            phase_pct=_near("phase_pct", 1),
         ),
         _finding(
             "cross_facility",
@@ -329,8 +334,8 @@ def _insights() -> str:
             {part: _sentence(cross[part], **gap) for part in ("title", "message", "impact", "action")},
             facility="slowest_facility",
             procedure="procedure_type",
-            gap_minutes="round_even(gap_minutes, 1)",
-            gap_pct="round_even(gap_pct, 1)",
+            gap_minutes=_near("gap_minutes", 1),
+            gap_pct=_near("gap_pct", 1),
             reference_facility="fastest_facility",
         ),
         _finding(
@@ -349,8 +354,8 @@ def _insights() -> str:
                 ),
             },
             facility="facility_id",
-            avg_total_minutes="round_even(avg_total_minutes, 1)",
-            p90_total_minutes="round_even(p90_total_minutes, 1)",
+            avg_total_minutes=_near("avg_total_minutes", 1),
+            p90_total_minutes=_near("p90_total_minutes", 1),
             total_cases="total_cases",
         ),
         _finding(
@@ -368,7 +373,7 @@ def _insights() -> str:
                 "impact": raised("impact"),
                 "action": raised("action"),
             },
-            rate="round_even(rate, 4)",
+            rate=_near("rate", 4),
             count='"count"',
             total="total",
         ),
@@ -472,7 +477,7 @@ _QUERIES = {
     "phase_matrix": " UNION ALL ".join(
         f"SELECT '{p.label}' AS phase, "
         + ", ".join(
-            f"max(CASE WHEN facility_id = '{name}' THEN round_even({p.column}, 1) END) AS \"{name}\""
+            f"max(CASE WHEN facility_id = '{name}' THEN {_near(p.column)} END) AS \"{name}\""
             for name in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
         )
         + " FROM phase_means"
@@ -499,15 +504,15 @@ _QUERIES = {
     "cross_facility_gap": f"""
         SELECT procedure_type, n_facilities, first_facility, fastest_facility, {_r("fastest_mean")},
             slowest_facility, {_r("slowest_mean")}, {_r("gap_minutes")}, {_r("gap_pct")} FROM gaps""",
-    "top10_volume": """
+    "top10_volume": f"""
         SELECT procedure_type || ' (' || facility_id || ')' AS label, case_volume,
-            round_even(dur_total_mean, 1) AS mean_minutes, round_even(dur_total_p90, 1) AS p90_minutes
+            {_near("dur_total_mean")} AS mean_minutes, {_near("dur_total_p90")} AS p90_minutes
         FROM groups ORDER BY case_volume DESC, facility_id, procedure_type LIMIT 10""",
-    "top20_volume": """
+    "top20_volume": f"""
         SELECT facility_id, procedure_type, case_volume,
-            round_even(dur_total_mean, 1) AS mean_minutes, round_even(dur_total_median, 1) AS median_minutes,
-            round_even(dur_total_p90, 1) AS p90_minutes, round_even(dur_total_std, 1) AS std_minutes,
-            coalesce(format('{:.0f}', late_start_rate * 100) || '%', '—') AS late_starts
+            {_near("dur_total_mean")} AS mean_minutes, {_near("dur_total_median")} AS median_minutes,
+            {_near("dur_total_p90")} AS p90_minutes, {_near("dur_total_std")} AS std_minutes,
+            coalesce({_whole("late_start_rate * 100")} || '%', '—') AS late_starts
         FROM groups ORDER BY case_volume DESC, facility_id, procedure_type LIMIT 20""",
     "insights_all": "SELECT * FROM insights",
     "stored_analysis": "SELECT * FROM insights",
@@ -533,8 +538,8 @@ _QUERIES = {
     "status_distribution": """
         SELECT CASE case_status WHEN 'completed' THEN 'Completed' WHEN 'canceled' THEN 'Cancelled'
             ELSE 'Other' END AS status, count(*) AS cases FROM cases GROUP BY 1""",
-    "facility_chart": """
-        SELECT facility_id, total_cases, round_even(avg_total_minutes, 1) AS avg_total_minutes FROM overview""",
+    "facility_chart": f"""
+        SELECT facility_id, total_cases, {_near("avg_total_minutes")} AS avg_total_minutes FROM overview""",
     "dq_violations": " UNION ALL ".join(
         f"SELECT '{rule}' AS rule, count(*) FILTER ({rule}) AS violations FROM rules" for rule in RULES
     ),

@@ -5,7 +5,7 @@ from cases import case, frame
 from pyspark.sql import functions as F
 
 from flowgauge.functions import columns as C
-from flowgauge.functions.text import fill, grouped, lookup, tenth_percent, whole, whole_percent
+from flowgauge.functions.text import fill, grouped, lookup, nearest, percent, tenth_percent, whole, whole_percent
 from flowgauge.operators.derive import as_timestamps, clip_durations, transfer_form, with_durations, with_late_start
 from flowgauge.schema import CASE_SCHEMA, DURATIONS, TRANSFER_COLUMNS
 
@@ -101,7 +101,7 @@ def test_clamp(spark):
 def test_feature_title_percent_and_time(spark):
     titles = [value(spark, C.feature_title(F.lit(name))) for name in ("facility_id_enc", "dur_op_to_postop")]
     assert titles == ["Facility Id", "Op To Postop"]
-    assert value(spark, C.percent(F.lit(0.12345))) == 12.3
+    assert value(spark, percent(F.lit(0.12345))) == 12.3
     assert value(spark, C.display_time(F.lit(datetime(2025, 1, 6, 7, 5, 9)))) == "2025-01-06 07:05:09"
     assert value(spark, C.chart_label(F.lit("P"), F.lit("A"))) == "P (A)"
 
@@ -114,6 +114,12 @@ def test_numbers_round_half_to_even(spark):
     assert value(spark, grouped(F.lit(12977))) == "12,977"
 
 
+@pytest.mark.parametrize("number", [2.25, 2.35, 2.45, 209.05, 209.15, 1234567.85, -0.25, 0.05, 12.5])
+def test_rounding_is_that_of_the_binary_value(spark, number):
+    assert value(spark, nearest(F.lit(number), 1)) == round(number, 1)
+    assert value(spark, whole(F.lit(number))) == f"{number:.0f}"
+
+
 def test_fill_and_lookup(spark):
     assert value(spark, fill("{a} of {b}.", a=F.lit("x"), b=F.lit("y"))) == "x of y."
     table = {"one": "1"}
