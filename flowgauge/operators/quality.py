@@ -99,7 +99,8 @@ def duplicate_keys(df: DataFrame, key: str = "event_id") -> DataFrame:
 def orphan_keys(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Values of ``key`` that the dimension lacks, with their number of rows.
 
-    The fact table is counted per value first, so only distinct values are joined.
+    The fact table is counted per value, so only distinct values are joined; with a
+    dimension small enough to broadcast, Spark looks the values up during the scan instead.
     """
     used = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("cases"))
     return used.join(dimension.select(key), key, "left_anti")

@@ -49,3 +49,8 @@ def timed(spark, rows):
 
 def by_key(df, *keys):
     return {tuple(row[key] for key in keys): row.asDict(recursive=True) for row in df.collect()}
+
+
+def plan(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
