@@ -68,14 +68,18 @@ def has_rows(df: DataFrame, at_least: int = MIN_ROWS) -> bool:
     return df.limit(at_least).count() >= at_least
 
 
-def _vectors(df: DataFrame, features: Sequence[str], label: str, extra: Sequence[str] = ()) -> DataFrame:
-    """The rows to learn from, with their fold; categories stay marked as such."""
+def _vectors(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """The rows to learn from, with their fold; categories stay marked as such.
+
+    They are settled, because training and evaluation read them many times.
+    """
     assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(
         df.na.drop(subset=[*features, label])
     )
-    return assembled.select(
-        "features", F.col(label).cast("double").alias("label"), *extra, in_test_fold().alias("in_test")
+    rows = assembled.select(
+        "features", F.col(label).cast("double").alias("label"), in_test_fold().alias("in_test")
     )
+    return settle(rows, "training-rows")
 
 
 def _bins(df: DataFrame, features: Sequence[str]) -> int:
@@ -178,7 +182,6 @@ def model_search(
     rows = _vectors(df, features, "dur_total")
     if not has_rows(rows):
         return None
-    rows = settle(rows, "training-rows")
     train, test = rows.filter(~F.col("in_test")), rows.filter("in_test")
     outcomes = []
     for number, setting in enumerate(grid, start=1):
