@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -69,17 +71,23 @@ def has_rows(df: DataFrame, at_least: int = MIN_ROWS) -> bool:
 
 
 def _vectors(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """The rows to learn from, with their fold; categories stay marked as such.
-
-    They are settled, because training and evaluation read them many times.
-    """
+    """The rows to learn from, with their fold; categories stay marked as such."""
     assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(
         df.na.drop(subset=[*features, label])
     )
-    rows = assembled.select(
+    return assembled.select(
         "features", F.col(label).cast("double").alias("label"), in_test_fold().alias("in_test")
     )
-    return settle(rows, "training-rows")
+
+
+@contextmanager
+def _kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows held in memory and on disk while training and evaluation read them repeatedly."""
+    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
 
 
 def _bins(df: DataFrame, features: Sequence[str]) -> int:
@@ -104,18 +112,19 @@ def train_discharge_predictor(
     rows = _vectors(df, features, "dur_total")
     if not has_rows(rows):
         return None
-    model = GBTRegressor(
-        maxDepth=depth,
-        maxIter=trees,
-        stepSize=learning_rate,
-        subsamplingRate=0.8,
-        featureSubsetStrategy="0.8",
-        maxBins=_bins(df, features),
-        seed=SEED,
-    ).fit(rows.filter(~F.col("in_test")))
-    scored = model.transform(rows.filter("in_test"))
-    quality = regression_metrics(scored, "label", "prediction").first()
-    n_train, n_test = _fold_sizes(rows)
+    with _kept(rows):
+        model = GBTRegressor(
+            maxDepth=depth,
+            maxIter=trees,
+            stepSize=learning_rate,
+            subsamplingRate=0.8,
+            featureSubsetStrategy="0.8",
+            maxBins=_bins(df, features),
+            seed=SEED,
+        ).fit(rows.filter(~F.col("in_test")))
+        scored = model.transform(rows.filter("in_test"))
+        quality = regression_metrics(scored, "label", "prediction").first()
+        n_train, n_test = _fold_sizes(rows)
     importance = {name: float(weight) for name, weight in zip(features, model.featureImportances.toArray())}
     result = {
         "model_type": "GBTRegressor",
@@ -143,20 +152,21 @@ def train_recovery_classifier(
     above = F.coalesce(F.col("dur_postop_to_discharge") > F.lit(threshold), F.lit(False)).cast("int")
     used = without_recovery(features)
     rows = _vectors(df.withColumn("extended_recovery", above), used, "extended_recovery")
-    train = rows.filter(~F.col("in_test"))
-    weight = float(class_balance(train, "label").first()["positive_weight"])
-    model = GBTClassifier(
-        maxDepth=depth,
-        maxIter=trees,
-        stepSize=learning_rate,
-        maxBins=_bins(df, used),
-        weightCol="weight",
-        seed=SEED,
-    ).fit(train.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(1.0)))
-    scored = model.transform(rows.filter("in_test"))
-    risk = scored.select("label", vector_to_array("probability")[1].alias("risk"))
-    auc = area_under_roc(risk, "label", "risk").first()["auc"]
-    n_train, n_test = _fold_sizes(rows)
+    with _kept(rows):
+        train = rows.filter(~F.col("in_test"))
+        weight = float(class_balance(train, "label").first()["positive_weight"])
+        model = GBTClassifier(
+            maxDepth=depth,
+            maxIter=trees,
+            stepSize=learning_rate,
+            maxBins=_bins(df, used),
+            weightCol="weight",
+            seed=SEED,
+        ).fit(train.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(1.0)))
+        scored = model.transform(rows.filter("in_test"))
+        risk = scored.select("label", vector_to_array("probability")[1].alias("risk"))
+        auc = area_under_roc(risk, "label", "risk").first()["auc"]
+        n_train, n_test = _fold_sizes(rows)
     result = {
         "model_type": "GBTClassifier",
         "target": "extended_recovery",
@@ -182,6 +192,7 @@ def model_search(
     rows = _vectors(df, features, "dur_total")
     if not has_rows(rows):
         return None
+    rows = settle(rows, "training-rows")
     train, test = rows.filter(~F.col("in_test")), rows.filter("in_test")
     outcomes = []
     for number, setting in enumerate(grid, start=1):
