@@ -91,10 +91,12 @@ def exact_percentiles(
     targets = settle(targets, "percentile-bins")
 
     in_cell = Window.partitionBy(*cell).orderBy("value")
+    # With few bins wanted, their list is broadcast and Spark filters during the scan; with
+    # many, equal values are counted before the shuffle that meets the list.
     ranked = (
-        values.join(targets.select(*cell).distinct(), cell, "left_semi")
-        .groupBy(*cell, "value")
+        values.groupBy(*cell, "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .join(targets.select(*cell).distinct(), cell, "left_semi")
         .withColumn("through", F.sum("n").over(in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     )
     first = F.col("below") + F.col("through") - F.col("n")

@@ -48,6 +48,28 @@ def test_exact_percentiles_hold_no_group_in_memory(stored):
     assert "BroadcastHashJoin" in text
 
 
+def test_percentiles_filter_in_the_scan_or_count_before_the_shuffle(spark, stored):
+    def steps():
+        overview = aggregate.facility_overview(with_durations(stored))
+        return plan(overview).split("\n\n")[0].splitlines()
+
+    def position(lines, text):
+        return next(i for i, line in enumerate(lines) if text in line)
+
+    lines = steps()
+    semi = position(lines, "LeftSemi")
+    assert "BroadcastHashJoin" in lines[semi]
+    scan = position(lines[semi:], "Scan parquet")
+    assert not any("HashAggregate" in line for line in lines[semi : semi + scan])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        lines = steps()
+        assert sum("HashAggregate" in line for line in lines[position(lines, "LeftSemi") :]) >= 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_copies_are_dropped_before_the_shuffle(stored):
     body = plan(ingest.first_write_wins(stored)).split("\n\n")[0]
     assert body.count("WindowGroupLimit") == 2
