@@ -106,10 +106,10 @@ _RULE_ROWS = ", ".join(
 ORACLE_SQL: dict[str, str] = {
     "op8_cover_tree": """
         WITH usable AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS vector
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS vector
             FROM embeddings
             WHERE embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), scored AS (
             SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.vector, d.vector)::BIGINT AS score
             FROM usable q JOIN usable d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
