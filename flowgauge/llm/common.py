@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +82,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, texts: int | None
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a number of words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 300_000):
         super().__init__()
         self.limit = limit
 
@@ -95,6 +96,24 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_memory: dict[Hashable, Any] = {}
+
+
+def remembered_by_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task under a key; what it kept under another is dropped.
+
+    Workers serve one operator after the other, and their memories would add up.
+    """
+    if key not in _memory:
+        _memory.clear()
+        _memory[key] = make()
+    return _memory[key]
+
+
+def word_hashes() -> WordHashes:
+    return remembered_by_worker("word hashes", WordHashes)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spreads every input bit over all output bits (multiply and shift, twice)."""
     values = values ^ (values >> np.uint64(32))

@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -193,12 +192,12 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         share = SEED_ROWS / max(1, data.count())
         for size, count in sorted((row["size"], row["count"]) for row in queries.groupBy("size").count().collect()):
             own = data.filter(F.col("size") == size)
-            seeds = own.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(min(1.0, share) * (1 << 20))).toPandas()
+            seeds = own.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(min(1.0, share) * (1 << 20))).toArrow()
             parts = -(-count * max(1, size) * 8 // QUERY_BYTES)
             part_of = F.pmod(F.xxhash64("query_id"), F.lit(parts))
             for part in range(parts):
-                block = queries.filter((F.col("size") == size) & (part_of == part)).toPandas()
-                if len(block):
+                block = queries.filter((F.col("size") == size) & (part_of == part)).toArrow()
+                if block.num_rows:
                     scored = _against(index.filter(F.col("size") == size), block, seeds, k)
                     scored = place.keep(scored, f"scored-{size}-{part}")
                     found = scored if found is None else found.unionByName(scored)
@@ -209,13 +208,13 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         return cut(ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
 
 
-def _against(index: DataFrame, block: pd.DataFrame, seeds: pd.DataFrame, k: int) -> DataFrame:
+def _against(index: DataFrame, block: pa.Table, seeds: pa.Table, k: int) -> DataFrame:
     """Candidates for one block of queries, k per query and task at most."""
-    ids, points = block["query_id"].to_numpy(np.int64), _matrix(block["vector"].tolist())
+    ids, points = block["query_id"].to_numpy(), _matrix(block["vector"].to_pylist())
     floor = np.full(len(ids), -np.inf)
-    if len(seeds):
+    if seeds.num_rows:
         first = Best(len(ids), k)
-        seed_ids, seed_points = seeds["vec_id"].to_numpy(np.int64), _matrix(seeds["vector"].tolist())
+        seed_ids, seed_points = seeds["vec_id"].to_numpy(), _matrix(seeds["vector"].to_pylist())
         for start in range(0, len(ids), 256):
             rows = np.arange(start, min(start + 256, len(ids)))
             first.offer(rows, ids[rows], points[rows] @ seed_points.T, seed_ids)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import WordHashes, mixed, shingle_hashes, slices
+from flowgauge.llm.common import mixed, shingle_hashes, slices, word_hashes
 
 SHINGLE = 5
 BIN_BITS, LOW_BITS = 8, 8
@@ -24,8 +24,6 @@ BINS = 1 << BIN_BITS
 DRAWS = 64  # draws looked up at once
 EMPTY = "00" * BINS + "-"  # no shingle at all; like to nothing but itself
 
-HASHES = WordHashes()
-
 
 def _draw(first: int) -> np.ndarray:
     """Bins drawn for each bin, draws ``first`` and on: (draws, bins)."""
@@ -38,7 +36,7 @@ FIRST_DRAWS = _draw(0)
 
 def sketch(text: str) -> np.ndarray | None:
     """Low bits of the minimum of each bin; none for a text without words."""
-    words = HASHES.of(text.lower().split())
+    words = word_hashes().of(text.lower().split())
     if not len(words):
         return None
     hashes = np.sort(shingle_hashes(words, SHINGLE))

@@ -6,7 +6,6 @@ items of the next round, in which a task takes in the bins of several. Only unde
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from array import array
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flowgauge.llm.common import WHITE_SPACE, cut, scratch, slices
+from flowgauge.llm.common import WHITE_SPACE, cut, remembered_by_worker, scratch, slices
 from flowgauge.llm.trie_bpe import REMEMBERED, MergeTable, ended, read_vocabulary, remembered
 
 CAPACITY = 4096
@@ -83,9 +82,8 @@ class WordTokens:
         return [b"".join(map(look, words)) for words in worded]
 
 
-@functools.lru_cache(maxsize=2)
 def word_tokens(text: str) -> WordTokens:
-    return WordTokens(text)
+    return remembered_by_worker(("words", text), lambda: WordTokens(text))
 
 
 class Item(NamedTuple):

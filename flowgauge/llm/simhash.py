@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.llm.common import cut, scratch
+from flowgauge.llm.common import cut, remembered_by_worker, scratch
 from flowgauge.llm.graph import components
 
 RADIUS = 3
@@ -48,6 +48,7 @@ def simhash(text: str | None) -> int:
 
 @F.pandas_udf(T.LongType())
 def _simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    remembered_by_worker("simhash", dict)
     for batch in texts:
         yield pd.Series(np.fromiter(map(simhash, batch), np.int64, len(batch)))
 

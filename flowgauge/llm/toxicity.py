@@ -19,22 +19,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.llm.common import WordHashes, mixed, scratch, slices
+from flowgauge.llm.common import mixed, scratch, slices, word_hashes
 
 WORD = re.compile(r"[^\W_]+")
 BITS = 22
 SAMPLE_ROWS = 16_000  # labelled rows to fit on, in expectation; fewer labels are all used
 SHARDS, ROUNDS, EPOCHS = 4, 3, 5
-LEAST_ROWS = 4  # rows of a shard that hold a feature before it gets a coordinate
+LEAST_ROWS, LEAST_SHARE = 4, 0.002  # of a shard's rows, so many hold a feature before it gets a coordinate
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 3.0, 0.1
 
-HASHES = WordHashes()
 PAIR, SKIP = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
 def features(text: str) -> np.ndarray:
     """Distinct hashed features of a whole text, ascending."""
-    words = HASHES.of(WORD.findall(text.lower()))
+    words = word_hashes().of(WORD.findall(text.lower()))
     parts = [words, words[:-1] * PAIR + words[1:], words[:-2] * SKIP + words[2:]]
     return np.unique((mixed(np.concatenate(parts)) >> np.uint64(64 - BITS)).astype(np.int32))
 
@@ -125,27 +124,29 @@ def _round(rows: DataFrame, found: np.ndarray, z: np.ndarray, n: np.ndarray) ->
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", key=lambda ids: pd.Series(mixed(ids.to_numpy().astype(np.uint64))).values, kind="stable")
-        held = np.bincount(np.concatenate(pdf["features"].to_numpy()), minlength=1 << BITS)
-        own = np.flatnonzero(held >= LEAST_ROWS)
-        place = np.full(1 << BITS, -1, np.int64)
-        place[own] = np.arange(len(own))
+        held, rows_held = np.unique(np.concatenate(pdf["features"].to_numpy()), return_counts=True)
+        own = held[rows_held >= max(LEAST_ROWS, LEAST_SHARE * len(pdf))].astype(np.int64)
         local = np.append(own, 1 << BITS)
         own_z, own_n = np.zeros(len(local)), np.zeros(len(local))
         _, at, at_state = np.intersect1d(local, found, assume_unique=True, return_indices=True)
         own_z[at], own_n[at] = z[at_state], n[at_state]
         before_z, before_n = own_z.copy(), own_n.copy()
-        coded = [coords[coords >= 0] for coords in (place[row] for row in pdf["features"])]
+        coded = []
+        for row in pdf["features"]:
+            places = np.searchsorted(own, row)
+            coded.append(places[own[np.minimum(places, len(own) - 1)] == row] if len(own) else places[:0])
         ftrl(coded, pdf["toxic"].to_numpy(), own_z, own_n, EPOCHS)
         moved = np.flatnonzero((own_n != before_n) | (own_z != before_z))
         return pd.DataFrame({"feature": local[moved], "z": (own_z - before_z)[moved], "n": (own_n - before_n)[moved]})
 
     steps = rows.select("shard", "doc_id", "toxic", "features").groupBy("shard").applyInPandas(train, "feature long, z double, n double")
-    mean = steps.groupBy("feature").agg((F.sum("z") / SHARDS).alias("z"), (F.sum("n") / SHARDS).alias("n")).toPandas()
-    features_ = np.union1d(found, mean["feature"].to_numpy())
+    mean = steps.groupBy("feature").agg((F.sum("z") / SHARDS).alias("z"), (F.sum("n") / SHARDS).alias("n")).toArrow()
+    touched = mean["feature"].to_numpy()
+    features_ = np.union1d(found, touched)
     new_z, new_n = np.zeros(len(features_)), np.zeros(len(features_))
     at = np.searchsorted(features_, found)
     new_z[at], new_n[at] = z, n
-    at = np.searchsorted(features_, mean["feature"].to_numpy())
+    at = np.searchsorted(features_, touched)
     new_z[at] += mean["z"].to_numpy()
     new_n[at] += mean["n"].to_numpy()
     return features_, new_z, new_n

@@ -8,7 +8,6 @@ ends there and whose border to the last token before it survives all merges.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
@@ -21,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import WHITE_SPACE, slices
+from flowgauge.llm.common import WHITE_SPACE, remembered_by_worker, slices
 
 # A word with the space before it, or white space up to the last character before a word.
 CHUNK = re.compile(rf" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
@@ -106,7 +105,7 @@ class MergeTable:
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids of distinct words, little-endian 32-bit; sorted, they are the paths of a trie, depth first."""
         encoded: dict[str, bytes] = {}
-        if len(self.fits) > REMEMBERED:
+        if len(self.fits) > REMEMBERED // 2:
             self.fits.clear()
         ids, fits, size = self.ids.get, self.fits, self.size
         before, last = "", []
@@ -212,10 +211,9 @@ class Encoder:
         return [letters[start:end].decode("utf-8", errors="replace") for start, end in zip(cuts, cuts[1:])]
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(text: str) -> Encoder:
     """One per Python worker and vocabulary, so that later tasks find words encoded already."""
-    return Encoder(text)
+    return remembered_by_worker(("bytes", text), lambda: Encoder(text))
 
 
 def read_vocabulary(path: str) -> str:
