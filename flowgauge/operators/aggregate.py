@@ -60,7 +60,11 @@ def aggregates(
 
     if fractions and percentiles == "exact":
         ranks = exact_percentiles(cases, keys, columns, fractions)
-        groups = groups.join(ranks, keys, "left")
+        if keys:
+            groups = groups.join(ranks, keys, "left")
+        else:  # one row each
+            whole = groups.withColumn("ranks", ranks.select(F.struct(*ranks.columns)).scalar())
+            groups = whole.select(*groups.columns, "ranks.*")
     ordered = [f"{column}_{name}" for column in columns for name in STATISTICS if name in statistics]
     rest = [name for name in ("case_volume", "late_start_rate") if name in groups.columns]
     return groups.select(*keys, *ordered, *rest)

@@ -183,11 +183,8 @@ def model_search(
     df: DataFrame,
     features: Sequence[str],
     grid: Sequence[Mapping[str, float]] = SEARCH_GRID,
-    max_trees: int | None = None,
 ) -> DataFrame | None:
     """Mean absolute error of each setting on the test fold, best first.
-
-    ``max_trees`` limits the trees of every setting, for a quick comparison.
     """
     rows = _vectors(df, features, "dur_total")
     if not has_rows(rows):
@@ -196,7 +193,7 @@ def model_search(
     train, test = rows.filter(~F.col("in_test")), rows.filter("in_test")
     outcomes = []
     for number, setting in enumerate(grid, start=1):
-        trees = int(min(setting["n_estimators"], max_trees or setting["n_estimators"]))
+        trees = int(setting["n_estimators"])
         model = GBTRegressor(
             maxDepth=int(setting["max_depth"]),
             maxIter=trees,

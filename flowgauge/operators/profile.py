@@ -84,22 +84,27 @@ def hourly_profile(
     return beside_expected(shares, expected, ["hour"])
 
 
-def calendar(daily: DataFrame, facility: str = "facility_id", day: str = "day") -> DataFrame:
+def calendar(
+    daily: DataFrame, facility: str = "facility_id", day: str = "day", known: DataFrame | None = None
+) -> DataFrame:
     """Every weekday between the first and last day seen, once per facility.
 
     ``daily`` is already one row per facility and day; the days are generated per
-    facility, without a cross join.
+    facility, without a cross join. Facilities of ``known`` that were not seen are there too.
     """
     first = daily.agg(F.min(day)).scalar()
     last = daily.agg(F.max(day)).scalar()
     days = F.explode(F.sequence(first, last))
-    return daily.select(facility).distinct().select(facility, days.alias(day)).filter(is_weekday(day))
+    places = daily.select(facility)
+    if known is not None:
+        places = places.union(known.select(facility).filter(F.col(facility).isNotNull()))
+    return places.distinct().select(facility, days.alias(day)).filter(is_weekday(day))
 
 
 def daily_volume(df: DataFrame, bands: DataFrame) -> DataFrame:
     """Cases per facility and weekday against the facility's expected band.
 
-    Days without cases appear with 0. ``bands`` has ``facility_id, volume_min, volume_max``.
+    Days without cases appear with 0, also at facilities without any. ``bands`` has ``facility_id, volume_min, volume_max``.
     """
     counted = (
         df.filter(F.col("facility_id").isNotNull() & F.col("checkin_time").isNotNull())
@@ -115,7 +120,7 @@ def daily_volume(df: DataFrame, bands: DataFrame) -> DataFrame:
         .when(F.col("volume_min").isNotNull(), "within")
     )
     return (
-        calendar(daily)
+        calendar(daily, known=bands)
         .join(daily, ["facility_id", "day"], "left")
         .join(bands.select("facility_id", "volume_min", "volume_max"), "facility_id", "left")
         .select("facility_id", "day", cases.alias("cases"), "volume_min", "volume_max", verdict.alias("band"))
@@ -123,16 +128,17 @@ def daily_volume(df: DataFrame, bands: DataFrame) -> DataFrame:
 
 
 def status_mix(df: DataFrame) -> DataFrame:
-    """Per facility, the cases and the share of each status."""
-    counts = (
-        df.groupBy("facility_id")
-        .pivot("case_status", list(CASE_STATUSES))
-        .agg(F.count(F.lit(1)))
-        .na.fill(0, list(CASE_STATUSES))
+    """Per facility, the cases and the share of each status; any other status, or none, is ``other``."""
+    status = F.col("case_status")
+    known = F.coalesce(status.isin(*CASE_STATUSES), F.lit(False))
+    counts = df.groupBy("facility_id").agg(
+        F.count(F.lit(1)).alias("cases"),
+        *[F.count_if(status == name).alias(name) for name in CASE_STATUSES],
+        F.count_if(~known).alias("other"),
     )
-    total = sum((F.col(name) for name in CASE_STATUSES[1:]), F.col(CASE_STATUSES[0]))
-    shares = [ratio(F.col(name), F.col("cases")).alias(f"{name}_share") for name in CASE_STATUSES]
-    return counts.withColumn("cases", total).select("facility_id", "cases", *CASE_STATUSES, *shares)
+    names = (*CASE_STATUSES, "other")
+    shares = [ratio(F.col(name), F.col("cases")).alias(f"{name}_share") for name in names]
+    return counts.select("facility_id", "cases", *names, *shares)
 
 
 def expected_case_mix(facilities: DataFrame, catalog: DataFrame, bias: DataFrame) -> DataFrame:

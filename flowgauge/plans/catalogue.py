@@ -42,8 +42,12 @@ GROUP_COLUMNS = ("event_id", *KEYS, "case_status", "scheduled_start_time", "op_s
 SITE_COLUMNS = ("facility_id", "case_status", "dur_total")
 RECOVERY_COLUMNS = ("event_id", "case_status", "dur_postop_to_discharge")
 
-# Trees per model in the registered queries; the operators' own default is 100.
-QUERY_TREES = 20
+# The settings that the registered search compares, each fitted in full.
+COMPARED_SETTINGS = (
+    {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.3},
+    {"n_estimators": 20, "max_depth": 3, "learning_rate": 0.1},
+    {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1},
+)
 
 
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
@@ -318,7 +322,7 @@ def calendar_spine_volume(spark, sf_dir):
 
 
 def status_mix(spark, sf_dir):
-    return rounded(profile.status_mix(view.case_events(spark, sf_dir)), 6)
+    return rounded(profile.status_mix(view.flawed_cases(spark, sf_dir)), 6)
 
 
 def _bias(spark, sf_dir) -> DataFrame:
@@ -386,7 +390,7 @@ def insert_ignore_counts(spark, sf_dir):
     stored = settle(ingest.first_write_wins(feed.filter(F.col("created_at") < split)), "stored")
     pulled = feed.filter(F.col("created_at") >= split)
     batch = settle(ingest.first_write_wins(pulled), "batch")
-    fresh = ingest.not_stored(batch, stored, batch_rows=batch.count())
+    fresh = ingest.not_stored(batch, stored)
     one = F.count(F.lit(1))
     return stored.agg(one.alias("stored")).select(
         "stored",
@@ -503,15 +507,15 @@ def _prepared(spark, sf_dir):
 
 
 def discharge_predictor(spark, sf_dir):
-    return models.train_discharge_predictor(*_prepared(spark, sf_dir), trees=QUERY_TREES)
+    return models.train_discharge_predictor(*_prepared(spark, sf_dir))
 
 
 def recovery_classifier(spark, sf_dir):
-    return models.train_recovery_classifier(*_prepared(spark, sf_dir), trees=QUERY_TREES)
+    return models.train_recovery_classifier(*_prepared(spark, sf_dir))
 
 
 def model_search(spark, sf_dir):
-    return models.model_search(*_prepared(spark, sf_dir), max_trees=4)
+    return models.model_search(*_prepared(spark, sf_dir), COMPARED_SETTINGS)
 
 
 def importance_ranking(spark, sf_dir):

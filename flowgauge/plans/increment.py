@@ -40,7 +40,8 @@ def load_increment(
     runs = read_or_empty(spark, state_path, WATERMARK_SCHEMA)
     watermark = watermark_of(fold_watermarks(runs), source_id)
     rows = transfer_form(source)
-    newest = rows.agg(F.max("created_at")).first()[0]
+    # the watermark is put on first, so that history is not read for the latest time
+    newest = rows_after(rows, watermark, strict=strict).agg(F.max("created_at")).first()[0]
     pulled = rows_after(rows, watermark, up_to=newest, strict=strict)
     inserted = insert_ignore(pulled, target_path)
     reached = max((moment for moment in (watermark, newest) if moment is not None), default=None)

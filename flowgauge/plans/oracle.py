@@ -427,6 +427,9 @@ FIRST_WRITE = f"""
             source_generator_id NULLS LAST) AS copy_no
         FROM resent) WHERE copy_no = 1"""
 
+_OTHER_STATUS = (
+    "coalesce(case_status, '') NOT IN ('completed', 'canceled', 'converted_to_inpatient', 'delayed')"
+)
 _MIX_TOTAL = "sum(count(*)) OVER (PARTITION BY service_line)"
 
 _QUERIES = {
@@ -579,7 +582,7 @@ _QUERIES = {
         SELECT s.facility_id, s.day, coalesce(d.observed, 0) AS cases, p.volume_min, p.volume_max,
             CASE WHEN coalesce(d.observed, 0) < p.volume_min THEN 'below'
                 WHEN coalesce(d.observed, 0) > p.volume_max THEN 'above' ELSE 'within' END AS band
-        FROM (SELECT facility_id, CAST(day AS DATE) AS day FROM (SELECT DISTINCT facility_id FROM cases),
+        FROM (SELECT facility_id, CAST(day AS DATE) AS day FROM (SELECT facility_id FROM cases UNION SELECT facility_id FROM places),
                 (SELECT unnest(generate_series(min(CAST(checkin_time AS DATE)), max(CAST(checkin_time AS DATE)),
                     INTERVAL 1 DAY)) AS day FROM cases)
             WHERE isodow(day) <= 5) s
@@ -592,7 +595,9 @@ _QUERIES = {
         + _r(f"count(*) FILTER (case_status = '{name}') / CAST(count(*) AS DOUBLE)", f"{name}_share", 6)
         for name in ("completed", "canceled", "converted_to_inpatient", "delayed")
     )
-    + " FROM cases GROUP BY facility_id",
+    + f", count(*) FILTER ({_OTHER_STATUS}) AS other, "
+    + _r(f"count(*) FILTER ({_OTHER_STATUS}) / CAST(count(*) AS DOUBLE)", "other_share", 6)
+    + " FROM flawed GROUP BY facility_id",
     "case_mix": f"""
         SELECT coalesce(o.facility_id, e.facility_id) AS facility_id,
             coalesce(o.service_line, e.service_line) AS service_line, coalesce(o.cases, 0) AS cases,

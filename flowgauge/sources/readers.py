@@ -19,7 +19,7 @@ from flowgauge.schema import (
     TRANSFER_SCHEMA,
 )
 
-DATABASE_PREFIX = "postgresql://"
+DATABASE_PREFIXES = ("postgresql://", "postgres://")
 
 
 def read_cases_csv(spark: SparkSession, path: str, schema: T.StructType = CASE_SCHEMA) -> DataFrame:
@@ -29,14 +29,26 @@ def read_cases_csv(spark: SparkSession, path: str, schema: T.StructType = CASE_S
         .option("header", True)
         .option("nullValue", "")
         .option("emptyValue", "")
+        .option("escape", '"')
         .option("enforceSchema", False)
         .csv(path)
     )
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Any subset of the transfer columns, in any order; absent columns become null."""
-    header = spark.read.option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
+    """Any subset of the transfer columns, in any order; absent columns become null.
+
+    All files of a folder need the same header; a file with another one fails the read. Quotes in
+    text are doubled.
+    """
+    header = (
+        spark.read.option("header", True)
+        .option("nullValue", "")
+        .option("emptyValue", "")
+        .option("escape", '"')
+        .option("enforceSchema", False)
+        .csv(path)
+    )
     return header.select(
         *[
             (F.col(field.name) if field.name in header.columns else F.lit(None))
@@ -96,7 +108,7 @@ def read_cases_table(
 
 def load_cases(spark: SparkSession, place: str, **database_options) -> DataFrame:
     """Cases from a database address, a CSV or JSON file, or a Parquet table."""
-    if place.startswith(DATABASE_PREFIX):
+    if place.startswith(DATABASE_PREFIXES):
         return read_cases_table(spark, place, **database_options)
     if place.endswith(".json"):
         return read_cases_json(spark, place)
@@ -107,7 +119,7 @@ def load_cases(spark: SparkSession, place: str, **database_options) -> DataFrame
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """The procedure catalog: procedure, service line and eight log-normal parameters."""
-    return spark.read.schema(CATALOG_SCHEMA).option("header", True).option("enforceSchema", False).csv(path)
+    return spark.read.schema(CATALOG_SCHEMA).option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -126,7 +138,7 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_aggregates(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AGGREGATE_SCHEMA).option("header", True).option("enforceSchema", False).csv(path)
+    return spark.read.schema(AGGREGATE_SCHEMA).option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
 
 
 def stored_insights(results: DataFrame) -> DataFrame:

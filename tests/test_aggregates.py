@@ -153,3 +153,10 @@ def test_class_balance(spark):
 def test_distinct_values(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "k string")
     assert [row["k"] for row in aggregate.distinct_values(df, "k").collect()] == ["a", "b"]
+
+
+def test_without_keys_there_is_one_row(spark):
+    rows = [case(f"e{n}", phases=(10, 20, 30, n)) for n in range(5)]
+    whole = aggregate.aggregates(timed(spark, rows), keys=(), columns=("dur_postop_to_discharge",)).collect()
+    assert len(whole) == 1
+    assert (whole[0]["case_volume"], whole[0]["dur_postop_to_discharge_median"]) == (5, 2.0)

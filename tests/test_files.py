@@ -135,3 +135,17 @@ def test_analysis_writes_and_reads_back(spark, tmp_path):
     assert tables["importance"].count() == 0
     assert tables["models"].first()["r2_score"] is None
     assert tables["top_procedures"].count() == 4
+
+
+def test_doubled_quotes_and_commas(spark, tmp_path):
+    header = "event_id,facility_id,case_status"
+    (tmp_path / "a.csv").write_text(f'{header}\n1,"The ""A"", site",completed\n')
+    row = readers.read_raw_csv(spark, str(tmp_path)).first()
+    assert (row["event_id"], row["facility_id"], row["case_status"]) == ("1", 'The "A", site', "completed")
+
+
+def test_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("event_id,facility_id\n1,FA\n")
+    (tmp_path / "b.csv").write_text("facility_id,event_id\nFB,2\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_raw_csv(spark, str(tmp_path)).collect()

@@ -50,6 +50,17 @@ def test_daily_volume_shows_missing_weekdays_only(spark):
     }
 
 
+def test_silent_facility_is_in_the_calendar(spark):
+    bands = spark.createDataFrame([("A", 1, 1), ("S", 1, 5)], "facility_id string, volume_min int, volume_max int")
+    days = by_key(profile.daily_volume(frame(spark, [case("a")]), bands), "facility_id")
+    assert (days["S",]["cases"], days["S",]["band"]) == (0, "below")
+
+
+def test_unknown_statuses_count(spark):
+    mix = profile.status_mix(frame(spark, [case("a"), case("b", status="lost"), case("c", status=None), case("d")])).first()
+    assert (mix["cases"], mix["other"], mix["completed_share"], mix["other_share"]) == (4, 2, 0.5, 0.5)
+
+
 def test_status_and_asa_mix(spark):
     df = frame(spark, [case("a"), case("b", status="delayed", asa=3), case("c"), case("d", asa=None)])
     mix = profile.status_mix(df).first()
