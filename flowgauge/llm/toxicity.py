@@ -24,7 +24,7 @@ from flowgauge.llm.common import mixed, scratch, slices, word_hashes
 WORD = re.compile(r"[^\W_]+")
 BITS = 22
 SAMPLE_ROWS = 16_000  # labelled rows to fit on, in expectation; fewer labels are all used
-SHARDS, ROUNDS, EPOCHS = 4, 3, 5
+SHARDS, ROUNDS, EPOCHS = 2, 3, 5
 LEAST_ROWS, LEAST_SHARE = 4, 0.002  # of a shard's rows, so many hold a feature before it gets a coordinate
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 3.0, 0.1
 
