@@ -42,9 +42,14 @@ def analyse(
     }
 
 
-def run_analysis(spark: SparkSession, place: str, output: str, **options) -> dict[str, DataFrame]:
-    """Load, analyse and write ``aggregates.csv`` and ``analytics_results.json`` (folders)."""
-    frames = analyse(load_cases(spark, place), **options)
+def run_analysis(
+    spark: SparkSession, place: str, output: str, *, reading: dict | None = None, **options
+) -> dict[str, DataFrame]:
+    """Load, analyse and write ``aggregates.csv`` and ``analytics_results.json`` (folders).
+
+    ``reading`` has the options of ``load_cases`` for a database.
+    """
+    frames = analyse(load_cases(spark, place, **(reading or {})), **options)
     write_aggregates(frames["aggregates"], f"{output}/aggregates.csv")
     write_results(frames["results"], f"{output}/analytics_results.json")
     return frames

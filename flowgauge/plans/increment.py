@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.operators.derive import transfer_form
-from flowgauge.operators.ingest import fold_watermarks, rows_after, watermark_of
+from flowgauge.operators.ingest import EPOCH, fold_watermarks, is_wall_clock, newest_position, position_of, rows_after
 from flowgauge.schema import DEFAULT_SOURCE_ID, WATERMARK_SCHEMA
+from flowgauge.session import settled
 from flowgauge.sources.readers import read_or_empty
-from flowgauge.sources.writers import insert_ignore
+from flowgauge.sources.writers import insert_counted
 
 
 class Load(NamedTuple):
     inserted: int
-    watermark: datetime | None
+    watermark: datetime | None  # to show; the position itself is never taken from a Python clock
+    rejected: int = 0  # rows without a key, set aside
 
 
 def load_increment(
@@ -35,17 +37,31 @@ def load_increment(
     first and the log second: a run that breaks off in between is simply repeated, and
     the rows already stored are not stored twice. The watermark advances to the latest
     creation time seen, even when every row was known. One writer per target.
+
+    The source is read once, behind the watermark. Rows without a key go to ``rejected_path`` of the target.
+    Times without a zone are stored in the state as if their clock were UTC's.
     """
     spark = source.sparkSession
     runs = read_or_empty(spark, state_path, WATERMARK_SCHEMA)
-    watermark = watermark_of(fold_watermarks(runs), source_id)
-    rows = transfer_form(source)
-    # the watermark is put on first, so that history is not read for the latest time
-    newest = rows_after(rows, watermark, strict=strict).agg(F.max("created_at")).first()[0]
-    pulled = rows_after(rows, watermark, up_to=newest, strict=strict)
-    inserted = insert_ignore(pulled, target_path)
-    reached = max((moment for moment in (watermark, newest) if moment is not None), default=None)
-    if reached is not None:
-        run = (source_id, reached, run_at or datetime.now(timezone.utc), inserted)
-        spark.createDataFrame([run], WATERMARK_SCHEMA).write.mode("append").parquet(state_path)
-    return Load(inserted, reached)
+    position = position_of(fold_watermarks(runs), source_id)
+    with settled(rows_after(transfer_form(source), position, strict=strict), "pulled") as pulled:
+        newest = newest_position(pulled)
+        inserted, rejected = insert_counted(pulled, target_path)
+    reached = max((place for place in (position, newest) if place is not None), default=None)
+    if reached is None:
+        return Load(inserted, None, rejected)
+    run = spark.range(1).select(
+        F.lit(source_id).alias("source_id"),
+        F.timestamp_micros(F.lit(reached).cast("long")).alias("last_created_at"),
+        (F.current_timestamp() if run_at is None else F.lit(run_at)).alias("last_run_at"),
+        F.lit(inserted).cast("long").alias("rows_transferred"),
+    )
+    run.write.mode("append").parquet(state_path)
+    return Load(inserted, _shown(reached, pulled), rejected)
+
+
+def _shown(position: int, rows: DataFrame) -> datetime:
+    """A position as the moment that the source would show: on its own clock, or on this process's."""
+    if is_wall_clock(rows, "created_at"):
+        return EPOCH + timedelta(microseconds=position)
+    return (EPOCH.replace(tzinfo=timezone.utc) + timedelta(microseconds=position)).astimezone().replace(tzinfo=None)

@@ -427,6 +427,10 @@ FIRST_WRITE = f"""
             source_generator_id NULLS LAST) AS copy_no
         FROM resent) WHERE copy_no = 1"""
 
+CARELESS = """
+    (SELECT * REPLACE (CASE WHEN minute(checkin_time) <> 7 THEN event_id END AS event_id,
+        CASE WHEN minute(checkin_time) <> 11 THEN created_at END AS created_at) FROM resent)"""
+
 _OTHER_STATUS = (
     "coalesce(case_status, '') NOT IN ('completed', 'canceled', 'converted_to_inpatient', 'delayed')"
 )
@@ -625,6 +629,9 @@ _QUERIES = {
     "first_write_wins": FIRST_WRITE,
     "increment_cycle": FIRST_WRITE,
     "stream_ingest": FIRST_WRITE,
+    "increment_careless_feed": f"""
+        {FIRST_WRITE.replace("FROM resent)", f"FROM {CARELESS} careless WHERE event_id IS NOT NULL)")}
+        UNION ALL SELECT DISTINCT {TRANSFER} FROM {CARELESS} careless WHERE event_id IS NULL""",
     "watermark_after": """
         SELECT source_id, arg_max(created_at, (run_at, created_at)) AS last_created_at, max(run_at) AS last_run_at,
             count(*) AS rows_transferred FROM logs GROUP BY source_id""",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,8 +41,28 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder(spark.sparkContext.applicationId)
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+_passing: set[str] = set()
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/flowgauge/{label}-{uuid.uuid4().hex}"
+    """A folder of this application's own, which the file system deletes when the driver ends, also after a failure."""
+    root = f"{shared_folder(spark)}/flowgauge/{spark.sparkContext.applicationId}"
+    if root not in _passing:
+        system, place = _file_system(spark, root)
+        system.mkdirs(place)
+        system.deleteOnExit(place)
+        _passing.add(root)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -53,3 +75,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def settled(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``settle`` for as long as the block lasts; the folder is removed at its end, also after a failure."""
+    path = new_folder(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(df.sparkSession, path)

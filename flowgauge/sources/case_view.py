@@ -149,5 +149,16 @@ def as_resent(cases: DataFrame) -> DataFrame:
     return cases.withColumns({"created_at": sent, "event_id": F.concat(F.lit("case-"), order)})
 
 
+def careless_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed from a source that loses some ids and some times of sending."""
+    minute = F.minute("checkin_time")
+    return resent_cases(spark, sf_dir).withColumns(
+        {
+            "event_id": F.when(minute != 7, F.col("event_id")),
+            "created_at": F.when(minute != 11, F.col("created_at")),
+        }
+    )
+
+
 def resent_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_resent(case_events(spark, sf_dir, created_at=True))

@@ -106,9 +106,14 @@ def read_cases_table(
     return reader.load()
 
 
-def load_cases(spark: SparkSession, place: str, **database_options) -> DataFrame:
-    """Cases from a database address, a CSV or JSON file, or a Parquet table."""
+def load_cases(spark: SparkSession, place: str, *, single_task: bool = False, **database_options) -> DataFrame:
+    """Cases from a database address, a CSV or JSON file, or a Parquet table.
+
+    A database is read in ranges of a ``column``; one connection for all rows must be asked for by ``single_task``.
+    """
     if place.startswith(DATABASE_PREFIXES):
+        if database_options.get("column") is None and not single_task:
+            raise ValueError("name a partition column and its bounds, or ask for a read in a single task")
         return read_cases_table(spark, place, **database_options)
     if place.endswith(".json"):
         return read_cases_json(spark, place)

@@ -21,7 +21,7 @@ def file_stream(
 ) -> DataFrame:
     reader = spark.readStream.schema(schema).format(file_format).option("maxFilesPerTrigger", files_per_batch)
     if file_format == "csv":
-        reader = reader.option("header", True).option("nullValue", "").option("emptyValue", "")
+        reader = reader.option("header", True).option("nullValue", "").option("emptyValue", "").option("escape", '"')
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.load(folder)

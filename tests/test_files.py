@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 from pathlib import Path
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.plans.analysis import report_tables, run_analysis, write_report
 from flowgauge.schema import CASE_COLUMNS, CATALOG_SCHEMA, TRANSFER_COLUMNS
-from flowgauge.session import settle, shared_folder
+from flowgauge.session import settle, settled, shared_folder
 from flowgauge.sources import dimensions, readers, writers
 
 
@@ -149,3 +150,17 @@ def test_files_with_other_headers_fail(spark, tmp_path):
     (tmp_path / "b.csv").write_text("facility_id,event_id\nFB,2\n")
     with pytest.raises(Exception, match="header"):
         readers.read_raw_csv(spark, str(tmp_path)).collect()
+
+
+def test_a_database_is_not_read_in_one_task_unawares(spark):
+    with pytest.raises(ValueError, match="single task"):
+        readers.load_cases(spark, "postgresql://host/name")
+
+
+def test_intermediate_tables_go_when_they_are_used(spark):
+    with pytest.raises(RuntimeError), settled(spark.range(3), "short") as rows:
+        place = rows.inputFiles()[0].removeprefix("file://")
+        assert rows.count() == 3 and os.path.exists(place)
+        raise RuntimeError
+    assert not os.path.exists(os.path.dirname(place))
+    assert f"/flowgauge/{spark.sparkContext.applicationId}/" in place
