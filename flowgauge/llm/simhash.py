@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.llm.common import cut, remembered_by_worker, scratch
+from flowgauge.llm.common import cut, remembered_by_worker, scratch, unused_name
 from flowgauge.llm.graph import components
 
 RADIUS = 3
@@ -174,7 +174,8 @@ def one_per_component(documents: DataFrame) -> DataFrame:
     found = near_duplicates(documents)
     kept = found.filter("doc_id = component_id").select("doc_id").distinct()
     named = documents.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = documents.filter("doc_id is null").withColumn("__fp", fingerprint("text"))
-    alone = found.filter("component_id is null").select(F.col("fp").alias("__fp")).distinct()
-    unnamed = nameless.join(alone, "__fp", "left_semi").dropDuplicates(["__fp"]).drop("__fp")
+    own = unused_name(documents, "fp")
+    nameless = documents.filter("doc_id is null").withColumn(own, fingerprint("text"))
+    alone = found.filter("component_id is null").select(F.col("fp").alias(own)).distinct()
+    unnamed = nameless.join(alone, own, "left_semi").dropDuplicates([own])
     return named.select(*documents.columns).unionByName(unnamed.select(*documents.columns))
