@@ -124,8 +124,10 @@ def _round(rows: DataFrame, found: np.ndarray, z: np.ndarray, n: np.ndarray) ->
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", key=lambda ids: pd.Series(mixed(ids.to_numpy().astype(np.uint64))).values, kind="stable")
-        held, rows_held = np.unique(np.concatenate(pdf["features"].to_numpy()), return_counts=True)
-        own = held[rows_held >= max(LEAST_ROWS, LEAST_SHARE * len(pdf))].astype(np.int64)
+        rows_held = np.zeros(1 << BITS, np.int32)
+        for row in pdf["features"]:
+            rows_held[row] += 1  # a row's features are distinct
+        own = np.flatnonzero(rows_held >= max(LEAST_ROWS, LEAST_SHARE * len(pdf)))
         local = np.append(own, 1 << BITS)
         own_z, own_n = np.zeros(len(local)), np.zeros(len(local))
         _, at, at_state = np.intersect1d(local, found, assume_unique=True, return_indices=True)
