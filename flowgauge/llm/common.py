@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
@@ -104,6 +106,15 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live long, and the allocators would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 _memory: dict[Hashable, Any] = {}
 
 
@@ -114,6 +125,7 @@ def remembered_by_worker(key: Hashable, make: Callable[[], Any]) -> Any:
     """
     if key not in _memory:
         _memory.clear()
+        give_back()
         _memory[key] = make()
     return _memory[key]
 
