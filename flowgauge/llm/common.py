@@ -72,6 +72,20 @@ def scratch(spark: SparkSession, label: str) -> Iterator[Scratch]:
         place.remove()
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """So many rows at most in an Arrow batch, for jobs run in the block; ten thousand whole texts would fill a worker."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, texts: int | None = None) -> Iterator[pa.RecordBatch]:
     """The batches in pieces, so that few values at a time are Python objects.
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flowgauge.llm.common import WHITE_SPACE, cut, remembered_by_worker, scratch, slices
+from flowgauge.llm.common import WHITE_SPACE, batches_of, cut, remembered_by_worker, scratch, slices
 from flowgauge.llm.trie_bpe import REMEMBERED, MergeTable, ended, read_vocabulary, remembered
 
 CAPACITY = 4096
@@ -29,6 +29,7 @@ PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
 FAN_IN = 8  # partitions that meet in one task of the next round
 SLACK = 16  # a bin with no more room than this is nearly full
 FLUSH = 200_000  # pieces that a task packs at once
+TEXTS = 2000  # whole texts in an Arrow batch
 CARRY = 50_000  # bins that a task passes on; the fullest beyond that are final as they are
 
 MEMBER = pa.struct(
@@ -181,7 +182,8 @@ def pack_documents(documents: DataFrame, vocabulary_path: str, capacity: int = C
 
     with scratch(spark, "packing") as place:
         narrow = documents.select(F.col("doc_id").cast("long"), "text")
-        done = level_bins = place.keep(narrow.mapInArrow(tokenise, BIN_DDL), "round-0")
+        with batches_of(spark, TEXTS):
+            done = level_bins = place.keep(narrow.mapInArrow(tokenise, BIN_DDL), "round-0")
         done = done.filter("final")
         tasks, level = level_bins.rdd.getNumPartitions(), 0
         while True:
