@@ -83,8 +83,8 @@ class WordTokens:
         return [b"".join(map(look, words)) for words in worded]
 
 
-def word_tokens(text: str) -> WordTokens:
-    return remembered_by_worker(("words", text), lambda: WordTokens(text))
+def word_tokens(text: str, remember: int) -> WordTokens:
+    return remembered_by_worker(("words", text), lambda: WordTokens(text, remember))
 
 
 class Item(NamedTuple):
@@ -151,11 +151,12 @@ def _flushed(items: Iterable[Item], emitter: _Emitter) -> Iterator[pa.RecordBatc
     yield from emitter.emit(held)
 
 
-def pack_documents(documents: DataFrame, vocabulary_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(documents: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, remember: int = REMEMBERED) -> DataFrame:
     """Pieces of all documents with the sequence and the offset they are packed at.
 
     A document is its ids and then ``END_ID``; only documents longer than the capacity are cut. A null text is
     an empty one and takes one place. Repeated rows and null ids are packed as documents of their own.
+    A worker remembers the ids of ``remember`` words; fewer take more time and less memory, with the same result.
     Returns doc_id, piece, start, length, ids_crc32, sequence_id and offset.
     """
     spark = documents.sparkSession
@@ -163,7 +164,7 @@ def pack_documents(documents: DataFrame, vocabulary_path: str, capacity: int = C
     end = END_ID.to_bytes(4, "little")
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokens(text.value)
+        words = word_tokens(text.value, remember)
 
         def items() -> Iterator[Item]:
             for batch in slices(batches, texts=1):
