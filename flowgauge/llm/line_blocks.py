@@ -1,8 +1,8 @@
 """Main text of a page by the distribution of text over its lines.
 
 Markup is stripped into lines, one per block element. Text in menus, footers, forms, scripts and the
-like is blanked, as is everything outside the element that the page itself marks as its article,
-if it marks one. The lengths of the lines are summed over a sliding window; where the sums surge,
+like is blanked. A line in an element that the page marks as its article counts as a surge at least, and the other
+lines are blanked, unless they hold the larger surge and more text than any such element. The lengths of the lines are summed over a sliding window; where the sums surge,
 text begins, and where they dive to nothing, it ends. Lines between such points are the article.
 """
 
@@ -42,7 +42,7 @@ ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\
 SPACE = re.compile(r"\s+")
 
 WINDOW = 3  # lines in a sliding window
-SURGE = 86  # characters in a window at which text begins, on pages that mark no article
+SURGE = 86  # characters in a window at which text begins
 
 
 def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
@@ -64,20 +64,20 @@ def _is_article(name: str, attributes: str) -> bool:
     return name in ("article", "main") or "articleBody" in attributes or "role=\"main\"" in attributes
 
 
-def page_lines(page: str) -> tuple[list[str], list[bool]]:
-    """Lines of text in page order, blank where furniture stood, and whether each is in a marked article."""
+def page_lines(page: str) -> tuple[list[str], list[int]]:
+    """Lines of text in page order, blank where furniture stood, and the number of the outermost marked article of each, or 0."""
     lines: list[str] = []
-    marks: list[bool] = []
+    marks: list[int] = []
     text: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # name, furniture, article
-    hidden = articles = 0
+    hidden = articles = number = 0
 
     def end_line(blank: bool = False) -> None:
         line = SPACE.sub(" ", html.unescape("".join(text))).strip()
         text.clear()
         if line or blank:
             lines.append(line)
-            marks.append(articles > 0)
+            marks.append(number if articles else 0)
 
     def close(down_to: int) -> None:
         nonlocal hidden, articles
@@ -126,6 +126,7 @@ def page_lines(page: str) -> tuple[list[str], list[bool]]:
         article = not hidden and not furniture and _is_article(name, tag[3])
         stack.append((name, furniture, article))
         hidden += furniture
+        number += article and not articles
         articles += article
         if name in RAW:  # nothing but its own end tag counts in it
             closing = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
@@ -159,16 +160,28 @@ def text_spans(lengths: np.ndarray, surge: int, window: int = WINDOW) -> list[tu
     return spans
 
 
+def _stands_outside(lengths: np.ndarray, elements: np.ndarray) -> bool:
+    """Whether unmarked lines hold the larger surge and more text than each of the marked elements, as beside teasers."""
+    outside, inside = np.where(elements > 0, 0, lengths), np.where(elements > 0, lengths, 0)
+    surges = [int(np.convolve(own, np.ones(WINDOW, np.int64)).max()) for own in (outside, inside)]
+    return surges[0] > max(surges[1], SURGE - 1) and outside.sum() > np.bincount(elements, inside).max()
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, blocks joined by a space; empty if there is none."""
     lines, marks = page_lines(page or "")
-    if any(marks):
-        lines = [line if marked else "" for line, marked in zip(lines, marks)]
-        surge = 1  # the page says where its text is: short blocks count too
+    lengths, elements = np.fromiter(map(len, lines), np.int64, len(lines)), np.array(marks, np.int64)
+    marked = elements > 0
+    if marked.any() and not _stands_outside(lengths, elements):
+        # the page says where its text is: short blocks count too
+        weights = np.where(marked & (lengths > 0), np.maximum(lengths, SURGE), 0)
     else:
-        surge = SURGE
-    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-    kept = (line for start, end in text_spans(lengths, surge) for line in lines[start:end] if line)
+        weights = lengths
+    spans = text_spans(weights, SURGE)
+    if spans:  # what follows furniture inside or behind the text may be short
+        first = spans[0][0]
+        spans = [(first + start, first + end) for start, end in text_spans(weights[first:], 1)]
+    kept = (lines[at] for start, end in spans for at in range(start, end) if weights[at])
     return " ".join(kept)
 
 
