@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,7 @@ WORD = re.compile(r"[^\W_]+")
 BITS = 22
 SAMPLE_ROWS = 16_000  # labelled rows to fit on, in expectation; fewer labels are all used
 SHARDS, ROUNDS, EPOCHS = 2, 3, 5
-LEAST_ROWS, LEAST_SHARE = 4, 0.002  # of a shard's rows, so many hold a feature before it gets a coordinate
+LEAST_ROWS = 2  # training rows of any shard that hold a feature before it gets a coordinate
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 3.0, 0.1
 
 PAIR, SKIP = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -105,13 +106,18 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
             kinds = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, kinds)], ["doc_id", "toxic", "features"])
 
-    with scratch(documents.sparkSession, "toxicity") as place:
+    spark = documents.sparkSession
+    with scratch(spark, "toxicity") as place:
         rows = training_rows(documents, labels, sample_rows)
         hashed = rows.select("doc_id", "text", "toxic").mapInArrow(featurise, "doc_id long, toxic int, features array<int>")
         settled = place.keep(hashed, "rows").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)))
+        counts = settled.select(F.explode("features").alias("feature")).groupBy("feature").count()
+        # at most one entry per hashed feature
+        own = np.sort(counts.filter(F.col("count") >= LEAST_ROWS).select("feature").toArrow()["feature"].to_numpy())
+        coordinates = spark.sparkContext.broadcast(own)
         found, z, n = np.empty(0, np.int64), np.empty(0), np.empty(0)
         for _ in range(ROUNDS):
-            found, z, n = _round(settled, found, z, n)
+            found, z, n = _round(settled, coordinates, found, z, n)
     bias = found == 1 << BITS
     weights = weights_of(z, n)
     kept = (weights != 0) & ~bias
@@ -119,15 +125,14 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     return Model(found[kept], weights[kept].astype(np.float32), float(start[0]) if len(start) else 0.0)
 
 
-def _round(rows: DataFrame, found: np.ndarray, z: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _round(
+    rows: DataFrame, coordinates: Broadcast, found: np.ndarray, z: np.ndarray, n: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each shard trains from the state given; returns the mean state, at most one entry per hashed feature."""
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", key=lambda ids: pd.Series(mixed(ids.to_numpy().astype(np.uint64))).values, kind="stable")
-        rows_held = np.zeros(1 << BITS, np.int32)
-        for row in pdf["features"]:
-            rows_held[row] += 1  # a row's features are distinct
-        own = np.flatnonzero(rows_held >= max(LEAST_ROWS, LEAST_SHARE * len(pdf)))
+        own = coordinates.value
         local = np.append(own, 1 << BITS)
         own_z, own_n = np.zeros(len(local)), np.zeros(len(local))
         _, at, at_state = np.intersect1d(local, found, assume_unique=True, return_indices=True)
