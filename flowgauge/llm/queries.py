@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from flowgauge.llm import (
     chaining,
     cover_tree,
+    lexical,
     line_blocks,
     minhash,
+    minhash_join,
     packing,
     simhash,
     token_scan,
@@ -83,6 +85,14 @@ def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_blocks.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op12_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
@@ -96,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_cover_tree,
         op9_url_rules,
         op10_line_blocks,
+        op12_block_max,
+        op13_minhash_join,
     )
 }
 
@@ -103,6 +115,8 @@ _RULE_ROWS = ", ".join(
     f"('{rule.host}', '{rule.path}', '{rule.pattern}', '{rule.verdict}')" for rule in RULES
 )
 
+_LOWERED = f"translate(text, '{url_rules.UPPER}', '{url_rules.LOWER}')"
+
 ORACLE_SQL: dict[str, str] = {
     "op8_cover_tree": """
         WITH usable AS (
@@ -142,4 +156,73 @@ ORACLE_SQL: dict[str, str] = {
         SELECT n.page_id, n.host, n.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
         FROM numbered n LEFT JOIN fitting f ON f.row = n.row AND f.place = 1
     """,
+    "op12_block_max": f"""
+        WITH words AS (
+            SELECT row_number() OVER () AS row, doc_id,
+                   regexp_extract_all({_LOWERED},
+                                      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+            FROM documents
+        ), docs AS (
+            SELECT row, doc_id, len(terms) AS n, terms FROM words WHERE len(terms) > 0
+        ), corpus AS (
+            SELECT count(*)::BIGINT AS N, sum(n)::BIGINT AS L FROM docs
+        ), postings AS (
+            SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(terms) AS term FROM docs) GROUP BY ALL
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(N) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM postings, corpus GROUP BY term
+        ), items AS (
+            SELECT row_number() OVER () AS item, item_id,
+                   list_distinct(regexp_extract_all({_LOWERED},
+                                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS terms
+            FROM benchmark
+        ), scored AS (
+            SELECT i.item, i.item_id, d.doc_id, p.row,
+                   sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * d.n * c.N) // c.L))))::BIGINT AS score
+            FROM (SELECT item, item_id, unnest(terms) AS term FROM items) i
+            JOIN postings p USING (term) JOIN weights w USING (term) JOIN docs d ON d.row = p.row, corpus c
+            GROUP BY ALL
+        ), ranked AS (
+            SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op13_minhash_join": f"""
+        WITH RECURSIVE words AS (
+            SELECT row_number() OVER () AS row, doc_id,
+                   regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), shingled AS (
+            SELECT row, doc_id,
+                   CASE WHEN w IS NULL OR len(w) = 0 THEN []
+                        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] FOR i IN range(1, len(w) - 2)])
+                   END AS s
+            FROM words
+        ), classes AS (
+            SELECT list_sort(s) AS s, min(row) AS node, len(any_value(s)) AS n FROM shingled WHERE len(s) > 0 GROUP BY list_sort(s)
+        ), grams AS (
+            SELECT node, n, unnest(s) AS g FROM classes
+        ), pairs AS (
+            SELECT x.node AS a, y.node AS b
+            FROM grams x JOIN grams y ON x.g = y.g AND x.node < y.node AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+            GROUP BY x.node, y.node
+            HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))
+        ), linked AS (
+            SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+        ), reach(node, root) AS (
+            SELECT node, node FROM classes
+            UNION
+            SELECT linked.b, reach.root FROM reach JOIN linked ON linked.a = reach.node
+        ), rooted AS (
+            SELECT node, min(root) AS root FROM reach GROUP BY node
+        ), members AS (
+            SELECT x.row, x.doc_id, len(x.s)::BIGINT AS n_shingles, coalesce(r.root, -x.row) AS root
+            FROM shingled x LEFT JOIN classes c ON len(x.s) > 0 AND c.s = list_sort(x.s) LEFT JOIN rooted r ON r.node = c.node
+        ), named AS (
+            SELECT doc_id, n_shingles, min(doc_id) OVER (PARTITION BY root) AS component_id FROM members
+        )
+        SELECT doc_id, n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept FROM named
+    """,
 }

@@ -12,11 +12,13 @@ SCHEMAS = {
     "labels": "doc_id long, toxic int",
     "embeddings": "vec_id long, embedding array<float>",
     "pages": "page_id long, url string, html string",
+    "benchmark": "item_id long, text string",
 }
 CLASHING = (
     "fp fingerprint component_id root node a b block variant hash salt start source_id chain spans owner starts side "
     "stretch score predicted held_out toxic features shard bin used final members piece at member lengths vector size copy "
-    "query_id rank host path fetched best rule verdict candidates edited n_tokens ids stream ordinal kind row next"
+    "query_id rank host path fetched best rule verdict candidates edited n_tokens ids stream ordinal kind row next "
+    "pass item agree visits visitor major parts holders value values high low text_hash n_shingles"
 ).split()
 LONG = " ".join(f"word{at % 977}" for at in range(60_000))
 ROWS = {
@@ -46,6 +48,7 @@ ROWS = {
         (250, []),
         (300, [1.0]),
     ],
+    "benchmark": [(None, None), (None, "text"), (1, ""), (2, "One, SHORT one!"), (2, "One, SHORT one!"), (3, "absent"), (4, "\u4e2d\u6587")],
     "pages": [
         (None, None, None),
         (1, None, ""),
@@ -93,6 +96,8 @@ EXPECTED = {
     "op8_cover_tree": 4,
     "op9_url_rules": 6,
     "op10_line_blocks": 6,
+    "op12_block_max": 4 + 3 + 3 + 1,
+    "op13_minhash_join": 10,
 }
 
 
@@ -109,6 +114,15 @@ def test_odd_tables(spark, odd, name):
     if name == "op8_cover_tree":
         found = sorted((row["query_id"], row["rank"], row["vec_id"]) for row in rows)
         assert found == [(150, 1, 200), (150, 2, 201), (200, 1, 150), (200, 2, 201)]
+    if name == "op12_block_max":
+        found = sorted((row["item_id"] or 0, row["rank"], row["doc_id"] or 0) for row in rows)
+        assert found[:4] == [(0, 1, 4), (0, 2, 4), (0, 3, 5), (0, 4, 0)] and found[-1] == (4, 1, 7)
+        assert found[4:-1] == [(2, rank, doc_id) for rank, doc_id in ((1, 4), (2, 4), (3, 5)) for _ in range(2)]
+    if name == "op13_minhash_join":
+        blank = [row for row in rows if row["n_shingles"] == 0]
+        assert sorted((row["doc_id"] or 0, row["component_id"] or 0) for row in blank) == [(0, 0), (1, 1), (2, 2), (3, 3)]
+        assert [row["component_id"] for row in rows if row["doc_id"] in (4, 5)] == [4, 4, 4]
+        assert all(row["kept"] == (row["doc_id"] is not None and row["doc_id"] == row["component_id"]) for row in rows)
     if name in ("op7_packing", "pipeline"):
         assert len({(row["sequence_id"], row["offset"]) for row in rows}) == len(rows)
         assert all(0 < row["length"] and row["offset"] + row["length"] <= 4096 for row in rows)
