@@ -13,12 +13,14 @@ import json
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from flowgauge.llm.common import WHITE_SPACE, remembered_by_worker, slices
 
@@ -29,6 +31,7 @@ PIECES = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE_SPACE}\p{{L}}\p{{N}}]+|[{WHITE_SPACE}]+"
 )
 REMEMBERED = 800_000  # chunks or words that a worker remembers
+ASCII = frozenset(map(chr, range(128)))
 NEVER = 1 << 30
 WORD_END = "</w>"
 END_SHIFT = 0x100  # added to the last letter of a word where the vocabulary tells it apart
@@ -151,12 +154,36 @@ def remembered(known: dict[str, bytes], fresh: dict[str, bytes], needed: set[str
     return fresh
 
 
+class Parting:
+    """Parts chunks into pieces as the library does, whose tables of letters and digits are not those of Python or ``regex``."""
+
+    def __init__(self):
+        self.library = ByteLevel(add_prefix_space=False)
+        self.agrees: dict[str, bool] = {}  # characters beyond ASCII seen so far
+
+    def learn(self, characters: set[str]) -> None:
+        """Hold the class of new characters, found by what the library joins them with, against that of the tables here."""
+        for new in characters - self.agrees.keys():
+            joins = [len(self.library.pre_tokenize_str(before + new)) == 1 for before in "a1!"]
+            own = [regex.match(kind, new) is not None for kind in (r"\p{L}", r"\p{N}", rf"[^{WHITE_SPACE}\p{{L}}\p{{N}}]")]
+            self.agrees[new] = joins == own and new.isalpha() == own[0]
+
+    def pieces(self, chunk: str) -> list[str]:
+        """The pieces of a chunk whose characters are known."""
+        if chunk.isascii() or all(map(self.agrees.__getitem__, filterfalse(str.isascii, chunk))):
+            body = chunk[1:] if chunk[0] == " " else chunk
+            # str.isalpha means all of \p{L}; most chunks are such a word
+            return [chunk] if body.isalpha() else PIECES.findall(chunk)
+        return [chunk[start:end] for _, (start, end) in self.library.pre_tokenize_str(chunk)]
+
+
 class Encoder:
     """Whole texts by a byte-level vocabulary, with the worker's memory of chunks."""
 
     def __init__(self, text: str, limit: int = REMEMBERED):
         self.table, self.limit = MergeTable(text), limit
         self.known: dict[str, bytes] = {}
+        self.parting = Parting()
         spelled = {number: word.encode("latin-1") for number, word in self.table.spelled.items()}
         spelled |= {number: content.encode() for content, number in self.table.special.items()}
         self.lengths = np.zeros(max(spelled) + 1, np.int64)
@@ -168,10 +195,9 @@ class Encoder:
         """Ids of all these chunks; new ones are remembered while there is room."""
         fresh = chunks - self.known.keys()
         pieces: dict[str, list[str]] = {}
+        self.parting.learn(set().union(*filterfalse(str.isascii, fresh)) - ASCII)
         for chunk in fresh:
-            body = chunk[1:] if chunk[0] == " " else chunk
-            # str.isalpha means all of \p{L}; most chunks are such a word
-            own = [chunk] if body.isalpha() else PIECES.findall(chunk)
+            own = self.parting.pieces(chunk)
             pieces[chunk] = [piece if piece.isascii() else piece.encode().decode("latin-1") for piece in own]
         words = self.table.encode_words({piece for own in pieces.values() for piece in own})
         ids = {

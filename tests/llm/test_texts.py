@@ -46,6 +46,17 @@ def made_up(seed, words=120):
     return " ".join("".join(random_.choice("abcdefghij") for _ in range(random_.randint(3, 8))) for _ in range(words))
 
 
+def test_every_character_is_parted_as_the_library_does():
+    """Letters and digits of newer or older Unicode tables, before and after contractions."""
+    library = Tokenizer.from_file(BYTES)
+    own = trie_bpe.Encoder(trie_bpe.read_vocabulary(BYTES))
+    characters = [chr(at) for at in [*range(0x80, 0xD800), *range(0xE000, 0x20000), *range(0x20000, 0x110000, 997)]]
+    for start in range(0, len(characters), 20_000):
+        texts = [f"{c}'s x{c}y{c}'re 1{c}2 {c}'LL" for c in characters[start : start + 20_000]]
+        wanted = [np.array(found.ids, "<u4").tobytes() for found in library.encode_batch(texts, add_special_tokens=False)]
+        assert own.encode_texts(texts) == wanted
+
+
 def test_bpe_equals_the_tokenizer_and_decodes(spark):
     library = Tokenizer.from_file(BYTES)
     rows = trie_bpe.encode_documents(odd(spark), BYTES, with_ids=True).collect()
