@@ -86,17 +86,19 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(BATCH_ROWS, before)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, texts: int | None = None) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], rows: int = 512, texts: int | None = None, piece_bytes: int = PIECE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """The batches in pieces, so that few values at a time are Python objects.
 
-    A piece has ``rows`` rows at most or, if ``texts`` names a column, about ``PIECE_BYTES`` bytes of text.
+    A piece has ``rows`` rows at most or, if ``texts`` names a column, about ``piece_bytes`` bytes of text.
     """
     for batch in batches:
         if texts is None:
             borders = [*range(0, batch.num_rows, rows), batch.num_rows]
         else:
             sizes = pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_numpy(zero_copy_only=False)
-            pieces = np.cumsum(sizes, dtype=np.int64) // PIECE_BYTES
+            pieces = np.cumsum(sizes, dtype=np.int64) // piece_bytes
             borders = [0, *(np.flatnonzero(np.diff(pieces)) + 1).tolist(), batch.num_rows]
         for start, end in zip(borders, borders[1:]):
             if end > start:

@@ -16,6 +16,7 @@ from flowgauge.llm import (
     minhash_join,
     packing,
     simhash,
+    token_links,
     token_scan,
     toxicity,
     trie_bpe,
@@ -25,6 +26,7 @@ from flowgauge.llm.common import cut, scratch, table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 END_OF_DOCUMENT = 50256
 
 RULES = (
@@ -85,6 +87,10 @@ def op10_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_blocks.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.align_documents(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+
+
 def op12_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_cover_tree,
         op9_url_rules,
         op10_line_blocks,
+        op11_token_links,
         op12_block_max,
         op13_minhash_join,
     )

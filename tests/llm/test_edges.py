@@ -18,7 +18,7 @@ CLASHING = (
     "fp fingerprint component_id root node a b block variant hash salt start source_id chain spans owner starts side "
     "stretch score predicted held_out toxic features shard bin used final members piece at member lengths vector size copy "
     "query_id rank host path fetched best rule verdict candidates edited n_tokens ids stream ordinal kind row next "
-    "pass item agree visits visitor major parts holders value values high low text_hash n_shingles"
+    "pass item agree visits visitor major parts holders value values high low text_hash n_shingles links pair n"
 ).split()
 LONG = " ".join(f"word{at % 977}" for at in range(60_000))
 ROWS = {
@@ -96,6 +96,7 @@ EXPECTED = {
     "op8_cover_tree": 4,
     "op9_url_rules": 6,
     "op10_line_blocks": 6,
+    "op11_token_links": 10,
     "op12_block_max": 4 + 3 + 3 + 1,
     "op13_minhash_join": 10,
 }
