@@ -12,6 +12,8 @@ of documents: each token has no more ends than bytes. Only these counts travel t
 from __future__ import annotations
 
 import hashlib
+import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,13 +23,14 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from flowgauge.llm.common import cut, remembered_by_worker, scratch, slices
-from flowgauge.llm.trie_bpe import Encoder, read_vocabulary
+from flowgauge.llm.trie_bpe import CHUNK, byte_letters, read_vocabulary, remembered
 
 SPACE_MARK = "▁"
-PIECE_BYTES = 2 << 20  # of text in one Arrow table
-REMEMBERED = 400_000  # chunks of text that a worker remembers ids of
+PIECE_BYTES = 1 << 20  # of text in one Arrow table
+REMEMBERED = 250_000  # parts of texts that a worker remembers ids of, for each side
 
 
 @dataclass(frozen=True)
@@ -51,40 +54,98 @@ class Spelling:
         return self.octets[np.arange(total) + np.repeat(self.starts[ids] - (ends - sizes), sizes)]
 
 
-class ByteSide:
-    """Space and text by a byte-level vocabulary; strings of special tokens are plain text."""
+class Remembering:
+    """Ids of texts put together from those of their parts, of which a worker remembers a number.
+
+    ``PARTS`` must cut a text where no token reaches across.
+    """
+
+    PARTS: re.Pattern
 
-    def __init__(self, vocabulary: str):
-        self.encoder = Encoder(vocabulary, REMEMBERED)
-        spelled = self.encoder.table.spelled
-        special = self.encoder.table.special
-        size = max([*spelled, *special.values()]) + 1
-        self.spelling = Spelling.of([spelled.get(number, "").encode("latin-1") for number in range(size)])
+    def __init__(self, limit: int):
+        self.known: dict[str, bytes] = {}
+        self.limit = limit
+
+    def ids_of(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of new parts, as 32-bit numbers."""
+        raise NotImplementedError
 
     def encode(self, texts: list[str]) -> pa.ListArray:
-        found = self.encoder.encode_texts([f" {text}" for text in texts], special=False)
+        """Ids of a space and each text."""
+        cut_up = [self.PARTS.findall(f" {text}") for text in texts]
+        needed = set().union(*cut_up)
+        fresh = self.ids_of(sorted(needed - self.known.keys()))
+        self.known = remembered(self.known, fresh, needed, self.limit)
+        look = self.known.__getitem__
+        found = [b"".join(map(look, parts)) for parts in cut_up]
         offsets = np.cumsum([0] + [len(own) // 4 for own in found])
-        ids = np.frombuffer(b"".join(found), np.uint32).astype(np.int32)
+        ids = np.frombuffer(b"".join(found), np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
 
 
-class PieceSide:
-    """Text by a vocabulary of pieces, which sets the space before it."""
+def _split(ids: list[int], owners: list[int], parts: list[str]) -> dict[str, bytes]:
+    """Ids that come one part after the other, by the number of the part of each."""
+    octets = np.array(ids, np.int32).tobytes()
+    ends = (4 * np.searchsorted(np.array(owners, np.int64), np.arange(len(parts) + 1))).tolist()
+    return {part: octets[start:end] for part, start, end in zip(parts, ends, ends[1:])}
+
+
+class ByteSide(Remembering):
+    """Space and text by a byte-level vocabulary; strings of special tokens are plain text."""
 
-    def __init__(self, model: bytes):
+    PARTS = CHUNK
+
+    def __init__(self, vocabulary: str, limit: int = REMEMBERED):
+        super().__init__(limit)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks share the cores already
+        self.library = Tokenizer.from_str(vocabulary)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.library.encode_special_tokens = True
+        letters = byte_letters()
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        spelled = [b""] * size
+        for name, number in self.library.get_vocab(with_added_tokens=False).items():
+            if set(name) <= letters.keys():
+                spelled[number] = bytes(map(letters.__getitem__, name))
+        self.spelling = Spelling.of(spelled)
+
+    def ids_of(self, parts: list[str]) -> dict[str, bytes]:
+        whole = self.library.encode(parts, is_pretokenized=True, add_special_tokens=False)
+        return _split(whole.ids, whole.word_ids, parts)
+
+
+class PieceSide(Remembering):
+    """Text by a vocabulary of pieces, which sets the space before it.
+
+    A piece has space marks only at its beginning or no other letters, and no line ends, so none reaches from a word over a space
+    or over a line end; the constructor makes sure.
+    """
+
+    PARTS = re.compile(rf"[ {SPACE_MARK}]+[^ {SPACE_MARK}\n]*|\n[^ {SPACE_MARK}\n]*")
+
+    def __init__(self, model: bytes, limit: int = REMEMBERED):
+        super().__init__(limit)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.mark = self.model.piece_to_id(SPACE_MARK)
         tokens = []
         for number in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(number)
             is_byte = self.model.is_byte(number)
+            if not is_byte and (SPACE_MARK in piece.lstrip(SPACE_MARK) or "\n" in piece):
+                raise ValueError(f"piece {number} reaches over a space or a line end")
             tokens.append(bytes([int(piece[3:-1], 16)]) if is_byte else piece.replace(SPACE_MARK, " ").encode())
         self.spelling = Spelling.of(tokens)
 
-    def encode(self, texts: list[str]) -> pa.ListArray:
-        found = self.model.encode(texts, num_threads=1)
-        offsets = np.cumsum([0] + [len(own) for own in found])
-        ids = np.fromiter((number for own in found for number in own), np.int32, int(offsets[-1]))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+    def ids_of(self, parts: list[str]) -> dict[str, bytes]:
+        # the library sets a space before what it is given: it is taken from a part that has one, or its token from the others
+        given = [part if part[0] == "\n" else part[1:] for part in parts]
+        found = self.model.encode(given, num_threads=1) if given else []
+        mark = np.array([self.mark], np.int32).tobytes()
+        octets = {part: np.array(ids, np.int32).tobytes() for part, ids in zip(parts, found)}
+        octets |= {part: mark for part in (" ", SPACE_MARK) if part in octets}  # nothing was given
+        octets |= {part: octets[part].removeprefix(mark) for part in parts if part[0] == "\n"}
+        return octets
 
 
 class Aligner:
@@ -146,7 +207,9 @@ class Aligner:
         last = [self._last_of_groups(side, joined[place].to_numpy()) for side, place in zip(sides, ("a_place", "b_place"))]
         n_groups = np.bincount(sides[0]["document"].to_numpy()[last[0]], minlength=count)
         sizes = [np.diff(own.offsets.to_numpy()) for own in lists]
-        pairs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_links)]), pa.int32()), pa.array(codes))
+        ends = np.concatenate([[0], 8 * np.cumsum(n_links)]).tolist()
+        octets = codes.tobytes()
+        pairs = pa.array([octets[start:end] for start, end in zip(ends, ends[1:])], pa.binary())
         arrays = [
             pa.array(sizes[0], pa.int64()),
             pa.array(sizes[1], pa.int64()),
@@ -187,6 +250,14 @@ class Aligner:
         return [hashlib.sha256(octets[a : b - 1]).hexdigest() if b > a else "" for a, b in zip(borders, borders[1:])]
 
 
+def pairs_of(links: pa.BinaryArray) -> pa.ListArray:
+    """The linked pairs of each row; the bytes are taken as they lie."""
+    offsets = np.frombuffer(links.buffers()[1], np.int32)[links.offset : links.offset + len(links) + 1] // 8
+    first = int(offsets[0])
+    values = pa.Array.from_buffers(pa.int64(), int(offsets[-1]) - first, [None, links.buffers()[2]], offset=first)
+    return pa.ListArray.from_arrays(pa.array(offsets - first), values)
+
+
 def _without_nulls(lists: pa.ListArray) -> pa.ListArray:
     """The lists with empty ones for null ones, values and offsets beginning at zero."""
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
@@ -199,13 +270,14 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-ALIGNED_SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links array<long>"
+ALIGNED_SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
 
 
 def aligned(documents: DataFrame, vocabulary_path: str, model_path: str) -> DataFrame:
     """doc_id, numbers of tokens, groups and links, the groups' hash, and the linked pairs of each whole text.
 
-    A pair is a number: the first id times the number of the second vocabulary's ids, plus the second id.
+    A pair is a number: the first id times the number of the second vocabulary's ids, plus the second id. A text's pairs
+    are kept as the bytes of these numbers, of 64 bits each.
     """
     sent = documents.sparkSession.sparkContext.broadcast((read_vocabulary(vocabulary_path), read_model(model_path)))
 
@@ -232,7 +304,7 @@ def pair_counts(found: DataFrame, width: int) -> DataFrame:
             return pa.concat_tables(parts).group_by("pair", use_threads=False).aggregate([("n", "sum")]).rename_columns(["pair", "n"])
 
         for batch in batches:
-            own = pa.table({"pair": pc.list_flatten(batch.column(0))})
+            own = pa.table({"pair": pc.list_flatten(pairs_of(batch.column(0)))})
             counted = own.group_by("pair", use_threads=False).aggregate([([], "count_all")])
             parts.append(counted.rename_columns(["pair", "n"]))
             if len(parts) == 16:
@@ -251,12 +323,12 @@ def scored(found: DataFrame, counts: pa.Table) -> DataFrame:
     sent = found.sparkSession.sparkContext.broadcast(
         tuple(counts[name].to_numpy(zero_copy_only=False)[order] for name in ("pair", "n", "best"))
     )
-    kept = ALIGNED_SCHEMA.removesuffix(", links array<long>")
+    kept = ALIGNED_SCHEMA.removesuffix(", links binary")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = sent.value
         for batch in slices(batches, 2048):
-            links = batch.column("links")
+            links = pairs_of(batch.column("links"))
             documents = pc.list_parent_indices(links).to_numpy()
             at = np.searchsorted(pairs, pc.list_flatten(links).to_numpy())
             sums = [np.zeros(batch.num_rows, np.int64) for _ in range(2)]

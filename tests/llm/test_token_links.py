@@ -133,4 +133,17 @@ def test_tokens_without_bytes_link_with_all_that_end_there():
     aligner.all_written = pa.concat_arrays(aligner.written)
     row = aligner.align(["ab"]).to_pylist()[0]
     assert row["groups_sha256"] == hashlib.sha256(b"1,0|1,2,0;2|3").hexdigest()
-    assert sorted(row["links"]) == sorted([1 * 4 + 2, 1 * 4 + 0, 0 * 4 + 2, 0 * 4 + 0, 2 * 4 + 3]) and row["n_groups"] == 2
+    assert sorted(np.frombuffer(row["links"], np.int64).tolist()) == sorted([1 * 4 + 2, 1 * 4 + 0, 0 * 4 + 2, 0 * 4 + 0, 2 * 4 + 3]) and row["n_groups"] == 2
+
+
+def test_parts_of_a_text_have_the_ids_of_the_whole(library):
+    """Also where a worker remembers few of them."""
+    random_ = random.Random(12)
+    texts = ["".join(random_.choices(["a", "the", "'s", " ", "  ", "\n", "\t", "é", "日", "▁", "1", ".", "<s>", "\x85", "　"], k=random_.randint(1, 40))) for _ in range(3000)]
+    for limit in (10, 100_000):
+        sides = token_links.ByteSide(trie_bpe.read_vocabulary(A), limit), token_links.PieceSide(token_links.read_model(B), limit)
+        for start in range(0, len(texts), 500):
+            part = texts[start : start + 500]
+            a, b = (side.encode(part).to_pylist() for side in sides)
+            for text, one, other in zip(part, a, b):
+                assert (one, other) == library(text)[:2], repr(text)
