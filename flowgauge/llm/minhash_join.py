@@ -10,6 +10,8 @@ least 14 but for about one pair in ten million. So documents meet only if 14 coo
 * Merging: a list is dealt in chunks. In a chunk each class is compared with the leaders found before it, a star for each group
   and not all pairs. What verified links connect needs no further comparison; the classes of a list that they leave in
   different components are then compared across all its chunks.
+* Bounding: each set has a bitmap of its hashes. A bit of one set that another lacks stands for a shingle that it lacks, which
+  bounds what the two can have in common. Pairs that cannot reach the likeness are not made.
 
 Every link is confirmed on the full shingle sets.
 """
@@ -36,7 +38,11 @@ COMPARED = 256  # visitors compared with a chunk at a time
 _seeds = np.random.default_rng(20).integers(0, 1 << 63, (2, COORDINATES), np.uint64)
 FACTORS, TERMS = _seeds[0] * np.uint64(2) + np.uint64(1), _seeds[1]
 
-PRINT_SCHEMA = "doc_id long, text_hash long, n_shingles long, high long, low long, values array<long>"
+BITMAP_BITS = 4096  # more shingles than that make the bound weaker, not wrong
+
+PRINT_SCHEMA = (
+    "doc_id long, text_hash long, n_shingles long, high long, low long, values array<long>, signs binary, bitmap binary"
+)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -57,6 +63,13 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return least * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
 
 
+def bitmap(own: np.ndarray) -> bytes:
+    """A bit for each value of the hashes' high bits."""
+    held = np.zeros(BITMAP_BITS, bool)
+    held[(own >> np.uint64(64 - BITMAP_BITS.bit_length() + 1)).astype(np.int64)] = True
+    return np.packbits(held).tobytes()
+
+
 def class_key(own: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set, as two signed numbers."""
     digest = xxhash.xxh3_128_digest(own.tobytes())
@@ -75,10 +88,11 @@ def prints(documents: DataFrame) -> DataFrame:
                 some = [at for at, own in enumerate(sets) if len(own)]
                 keys: list[tuple[int, int] | tuple[None, None]] = [(None, None)] * len(sets)
                 values: list[np.ndarray | None] = [None] * len(sets)
+                signs: list[bytes | None] = [None] * len(sets)
                 if some:
-                    signed = signatures([sets[at] for at in some]).astype(np.int64) | named
-                    for at, row in zip(some, signed):
-                        keys[at], values[at] = class_key(sets[at]), row
+                    least = signatures([sets[at] for at in some])
+                    for at, row, sign in zip(some, least.astype(np.int64) | named, least.astype(np.uint32)):
+                        keys[at], values[at], signs[at] = class_key(sets[at]), row, sign.tobytes()
                 arrays = [
                     part.column(0),
                     part.column(1),
@@ -86,6 +100,8 @@ def prints(documents: DataFrame) -> DataFrame:
                     pa.array([key[0] for key in keys], pa.int64()),
                     pa.array([key[1] for key in keys], pa.int64()),
                     pa.array(values, pa.list_(pa.int64())),
+                    pa.array(signs, pa.binary()),
+                    pa.array([bitmap(own) for own in sets], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, PRINT_SCHEMA.replace(",", "").split()[::2])
 
@@ -94,15 +110,13 @@ def prints(documents: DataFrame) -> DataFrame:
 
 def classes_of(printed: DataFrame) -> DataFrame:
     """One row per distinct set: a number of its own, where its first document is, its size and its signature."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "n_shingles", "values"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "n_shingles", "values", "signs", "bitmap"))
     grouped = printed.filter("high is not null").groupBy("high", "low").agg(first.alias("first"))
-    return grouped.select("high", "low", "first.doc_id", "first.text_hash", "first.n_shingles", "first.values").withColumn(
-        "node", F.monotonically_increasing_id()
-    )
+    return grouped.select("high", "low", "first.*").drop("nameless").withColumn("node", F.monotonically_increasing_id())
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """value, holders, node, n_shingles and values: each class under the rarest of the values it shares.
+    """value, holders, node, posted, n_shingles, signs and bitmap: each class under the rarest of the values it shares.
 
     A value's ``holders`` are all classes that have it, posted or not.
     """
@@ -110,12 +124,13 @@ def postings(classes: DataFrame) -> DataFrame:
     shared = every.groupBy("value").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
     held = every.join(shared, "value").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("holders", "value"))).alias("held"))
     # of a signature's values, those that are not shared come first in the order and take their part of the prefix
-    prefix = held.filter(F.size("held") >= LEAST_COMMON).select(
-        "node", F.explode(F.slice("held", F.lit(1), F.size("held") - (LEAST_COMMON - 1))).alias("posted")
-    )
-    return prefix.join(classes.select("node", "n_shingles", "values"), "node").select(
-        "posted.value", "posted.holders", "node", "n_shingles", "values"
+    rarest = held.filter(F.size("held") >= LEAST_COMMON).select(
+        "node", F.slice("held", F.lit(1), F.size("held") - (LEAST_COMMON - 1)).alias("lists")
     )
+    bits = F.transform("lists", lambda own: F.call_function("shiftleft", F.lit(1).cast("long"), (own["value"] / (1 << 32)).cast("int")))
+    posted = F.aggregate(bits, F.lit(0).cast("long"), lambda mask, bit: mask.bitwiseOR(bit))
+    prefix = rarest.select("node", posted.alias("posted"), F.inline("lists"))
+    return prefix.join(classes.select("node", "n_shingles", "signs", "bitmap"), "node")
 
 
 def _chunks() -> Column:
@@ -126,23 +141,55 @@ def _own_chunk() -> Column:
     return F.pmod(F.xxhash64("node", "value"), _chunks())
 
 
-def _matrix(batch: pa.RecordBatch, column: str) -> np.ndarray:
-    """Signatures as low 16 bits of each value: a collision too many is only a candidate more."""
-    return batch.column(column).flatten().to_numpy().astype(np.uint16).reshape(-1, COORDINATES)
-
-
-def common(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """How many coordinates agree, for all rows of one and of the other signatures."""
-    count = np.zeros((len(one), len(other)), np.uint8)
-    for at in range(COORDINATES):
-        count += one[:, at, None] == other[None, :, at]
-    return count
-
-
-def may_link(count: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Enough coordinates agree, and the sizes allow the likeness at all."""
-    smaller, larger = np.minimum(one[:, None], other[None, :]), np.maximum(one[:, None], other[None, :])
-    return (count >= LEAST_COMMON) & (100 * smaller >= LIKENESS * larger)
+class Members:
+    """Classes of a list: their numbers, sizes, signatures and bitmaps, as rows of arrays."""
+
+    def __init__(self, rows: pa.Table):
+        self.nodes, self.sizes = rows["node"].to_numpy(), rows["n_shingles"].to_numpy()
+        self.signs = self._rows(rows["signs"], np.uint32)
+        self.bitmaps = self._rows(rows["bitmap"], np.uint64)
+        self.posted = rows["posted"].to_numpy()
+
+    @staticmethod
+    def _rows(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+        values = column.to_pylist()
+        return np.frombuffer(b"".join(values), kind).reshape(len(values), -1)
+
+    def agree(self, own: np.ndarray, others: Members, theirs: np.ndarray) -> np.ndarray:
+        """How many coordinates agree, for all of these own rows and all of those others."""
+        one, other = self.signs[own], others.signs[theirs]
+        count = np.zeros((len(one), len(other)), np.uint8)
+        for at in range(COORDINATES):
+            count += one[:, at, None] == other[None, :, at]
+        return count
+
+    def may_link(self, own: np.ndarray, others: Members, theirs: np.ndarray, apart: np.ndarray | None = None) -> tuple:
+        """Pairs (places in ``own`` and in ``theirs``, and agreeing coordinates) that nothing known here rules out."""
+        count = self.agree(own, others, theirs)
+        near = count >= LEAST_COMMON
+        if apart is not None:
+            near &= apart
+        x, y = np.nonzero(near)
+        agree = count[x, y]
+        one, other = own[x], theirs[y]
+        sizes, other_sizes = self.sizes[one], others.sizes[other]
+        most = np.minimum(sizes, other_sizes)
+        held = 100 * most >= LIKENESS * np.maximum(sizes, other_sizes)
+        for start in range(0, len(x), 1 << 16):
+            part = slice(start, start + (1 << 16))
+            bits, other_bits = self.bitmaps[one[part]], others.bitmaps[other[part]]
+            lacks = np.bitwise_count(bits & ~other_bits).sum(axis=1, dtype=np.int64)
+            lacked = np.bitwise_count(other_bits & ~bits).sum(axis=1, dtype=np.int64)
+            most[part] = np.minimum(sizes[part] - lacks, other_sizes[part] - lacked)
+        held &= (100 + LIKENESS) * most >= LIKENESS * (sizes + other_sizes)
+        return x[held], y[held], agree[held]
+
+    def first_common(self, own: np.ndarray, others: Members, theirs: np.ndarray) -> np.ndarray:
+        """The first coordinate under whose value both of each pair are posted: a pair belongs to that list alone."""
+        bits = np.int64(1) << np.arange(COORDINATES)
+        both = self.posted[own] & others.posted[theirs]
+        same = (self.signs[own] == others.signs[theirs]) & (both[:, None] & bits != 0)
+        return same.argmax(axis=1)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
@@ -184,20 +231,16 @@ def stars(posted: DataFrame) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for group in _groups(batches):
-            nodes = np.concatenate([part.column("node").to_numpy() for part in group])
-            sizes = np.concatenate([part.column("n_shingles").to_numpy() for part in group])
-            if len(nodes) < 2:
+            if sum(part.num_rows for part in group) < 2:
                 continue
-            signs = np.concatenate([_matrix(part, "values") for part in group])
-            left = np.arange(len(nodes))
+            members = Members(pa.Table.from_batches(group))
+            left = np.arange(len(members.nodes))
             while len(left) > 1:
                 leader, left = left[:1], left[1:]
-                count = common(signs[leader], signs[left])
-                near = may_link(count, sizes[leader], sizes[left])[0]
-                if near.any():
-                    hit = left[near]
-                    found.append((nodes[hit], np.repeat(nodes[leader], len(hit)), count[0][near]))
-                    left = left[~near]
+                _, hit, agree = members.may_link(leader, members, left)
+                if len(hit):
+                    found.append((members.nodes[left[hit]], np.repeat(members.nodes[leader], len(hit)), agree))
+                    left = np.delete(left, hit)
             if sum(len(part[0]) for part in found) > 50_000:
                 yield _pairs(found)
                 found = []
@@ -222,21 +265,21 @@ def across(posted: DataFrame, roots: DataFrame, best_only: bool) -> DataFrame:
             own, guests = whole.slice(0, int((~visits).sum())), whole.filter(whole.column("visitor"))
             if not own.num_rows or not guests.num_rows:
                 continue
-            own = own.combine_chunks().to_batches()[0]
-            nodes, sizes, root = (own.column(name).to_numpy() for name in ("node", "n_shingles", "root"))
-            signs = _matrix(own, "values")
-            for guest in guests.combine_chunks().to_batches(max_chunksize=COMPARED):
-                its_nodes, its_sizes, its_root = (guest.column(name).to_numpy() for name in ("node", "n_shingles", "root"))
-                count = common(_matrix(guest, "values"), signs)
-                near = may_link(count, its_sizes, sizes) & (its_root[:, None] != root[None, :])
-                x, y = np.nonzero(near)
-                agree = count[x, y]
+            root, members = own["root"].to_numpy(), Members(own)
+            every, coordinate = np.arange(len(root)), int(own["value"][0].as_py()) >> 32
+            for start in range(0, guests.num_rows, COMPARED):
+                guest = guests.slice(start, COMPARED)
+                its_root, visiting = guest["root"].to_numpy(), Members(guest)
+                apart = its_root[:, None] != root[None, :]
+                x, y, agree = visiting.may_link(np.arange(len(its_root)), members, every, apart)
+                mine = visiting.first_common(x, members, y) == coordinate
+                x, y, agree = x[mine], y[mine], agree[mine]
                 if best_only and len(x):
                     order = np.lexsort((-agree.astype(np.int64), root[y], x))
                     x, y, agree = x[order], y[order], agree[order]
                     first = np.concatenate([[True], (np.diff(x) != 0) | (np.diff(root[y]) != 0)])
                     x, y, agree = x[first], y[first], agree[first]
-                yield _pairs([(its_nodes[x], nodes[y], agree)])
+                yield _pairs([(visiting.nodes[x], members.nodes[y], agree)])
 
     rooted = posted.join(roots, "node")
     parts = rooted.groupBy("value", "root").agg(F.count(F.lit(1)).alias("size"))

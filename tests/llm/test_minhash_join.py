@@ -79,11 +79,35 @@ def test_groups_beyond_a_chunk_stay_whole(spark):
 
 def test_lists_are_chunked_and_parts_meet_across(spark):
     """What two chunks part is compared again, in every chunk."""
-    signs = np.arange(32, dtype=np.int64) << 32
-    schema = "value long, holders long, node long, n_shingles long, values array<long>"
-    posted = spark.createDataFrame([(5, 4096, node, 50, signs.tolist()) for node in range(40)], schema)
+    own = minhash_join.shingle_set(" ".join(f"w{at}" for at in range(53)))
+    signs = minhash_join.signatures([own])[0].astype(np.uint32).tobytes()
+    schema = "value long, holders long, node long, n_shingles long, signs binary, bitmap binary, posted long"
+    posted = spark.createDataFrame([(5, 4096, node, 50, signs, minhash_join.bitmap(own), 7) for node in range(40)], schema)
     stars = minhash_join.stars(posted).collect()
     assert 0 < len(stars) < 40  # a star in each of the four chunks
     roots = spark.createDataFrame([(node, 0 if node < 38 else node) for node in range(40)], "node long, root long")
     met = {tuple(sorted((row.a, row.b))) for row in minhash_join.across(posted, roots, False).collect()}
     assert met == {(a, b) for b in (38, 39) for a in range(b)}
+
+
+def test_bitmaps_rule_out_no_link():
+    """The bound holds for every pair, and leaves few of those that are no links."""
+    random_ = random.Random(9)
+    base = [f"w{at}" for at in range(200)]
+    texts = [near(random_, base, random_.randint(0, 40)) for _ in range(150)]
+    texts += [" ".join(random_.choices("ab", k=n)) for n in range(1, 40)]
+    sets = [minhash_join.shingle_set(text) for text in texts]
+    members = minhash_join.Members.__new__(minhash_join.Members)
+    members.nodes, members.sizes = np.arange(len(sets)), np.array([len(own) for own in sets])
+    members.signs = np.zeros((len(sets), 32), np.uint32)  # all coordinates agree
+    members.bitmaps = np.stack([np.frombuffer(minhash_join.bitmap(own), np.uint64) for own in sets])
+    every = np.arange(len(sets))
+    x, y, _ = members.may_link(every, members, every)
+    kept = set(zip(x.tolist(), y.tolist()))
+    links = set()
+    for a, one in enumerate(sets):
+        for b, other in enumerate(sets):
+            both = len(np.intersect1d(one, other))
+            if 100 * both >= 80 * (len(one) + len(other) - both):
+                links.add((a, b))
+    assert links <= kept and len(kept) < 1.3 * len(links)
