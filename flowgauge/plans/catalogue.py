@@ -25,11 +25,11 @@ from flowgauge.operators import (
 )
 from flowgauge.plans.analysis import analyse
 from flowgauge.plans.increment import load_increment
-from flowgauge.schema import CASE_SCHEMA, DURATIONS, KEYS, PHASE_COLUMNS, TRANSFER_COLUMNS
+from flowgauge.schema import CASE_COLUMNS, CASE_SCHEMA, DURATIONS, KEYS, PHASE_COLUMNS, TRANSFER_COLUMNS
 from flowgauge.session import new_folder, settle
 from flowgauge.sources import case_view as view
-from flowgauge.sources import readers, writers
-from flowgauge.streaming.ingest import file_stream, ingest_available
+from flowgauge.sources import keyed, readers, writers
+from flowgauge.streaming.ingest import file_stream, ingest_available, without_redeliveries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_LOAD = datetime(1998, 1, 1)
 FIRST_RUN, SECOND_RUN = datetime(1998, 1, 2), datetime(2002, 1, 1)
 
+FILES_PER_DELIVERY = 4  # and in each batch of the stream
+
 # What the group statistics read of a case besides its durations, and what a site's do.
 GROUP_COLUMNS = ("event_id", *KEYS, "case_status", "scheduled_start_time", "op_start_time")
 SITE_COLUMNS = ("facility_id", "case_status", "dur_total")
@@ -407,7 +409,7 @@ def increment_cycle(spark, sf_dir):
     early = feed.filter(F.col("created_at") < F.lit(FIRST_LOAD).cast("timestamp_ntz"))
     for source in (early, feed, feed):
         load_increment(source, target, state)
-    return spark.read.parquet(target).select(*TRANSFER_COLUMNS)
+    return keyed.read_table(spark, target).select(*TRANSFER_COLUMNS)
 
 
 def increment_careless_feed(spark, sf_dir):
@@ -417,22 +419,28 @@ def increment_careless_feed(spark, sf_dir):
     early = feed.filter(F.col("created_at") < F.lit(FIRST_LOAD).cast("timestamp_ntz"))
     for source in (early, feed, feed):
         load_increment(source, target, state)
-    stored = spark.read.parquet(target).unionByName(spark.read.parquet(writers.rejected_path(target)))
-    return stored.select(*TRANSFER_COLUMNS)
+    places = (target, writers.rejected_path(target))
+    stored, aside = (keyed.read_table(spark, place).select(*TRANSFER_COLUMNS) for place in places)
+    return stored.unionByName(aside)
+
+
+def _deliver(feed: DataFrame, folder: str, turn: int, turns: int = 3) -> None:
+    """Files of one part of the cases, and once more of the part before it; all copies of a case are in one part and file."""
+    part = F.pmod(F.xxhash64("event_id"), F.lit(turns))
+    due = feed.filter(part.isin(turn, turn - 1))
+    due.repartition(FILES_PER_DELIVERY, "event_id").write.mode("append").parquet(folder)
 
 
 def stream_ingest(spark, sf_dir):
-    lines = file_stream(
-        spark, sf_dir, view.table(spark, sf_dir, "lineitem").schema, pattern="lineitem.parquet"
-    )
-    target = new_folder(spark, "stream-target")
-    ingest_available(
-        lines,
-        target,
-        new_folder(spark, "stream-checkpoint"),
-        lambda batch: derive.transfer_form(view.as_resent(view.from_line_items(batch, sf_dir))),
-    )
-    return spark.read.parquet(target).select(*TRANSFER_COLUMNS)
+    """Deliveries of many files, each repeating the one before, read in batches and by two runs of the stream."""
+    feed = settle(derive.transfer_form(view.resent_cases(spark, sf_dir)), "feed")
+    folder, target, checkpoint = (new_folder(spark, f"stream-{name}") for name in ("arrivals", "target", "checkpoint"))
+    for turn in range(3):
+        _deliver(feed, folder, turn)
+        if turn:  # the first run finds two deliveries
+            arrivals = file_stream(spark, folder, feed.schema, files_per_batch=FILES_PER_DELIVERY)
+            ingest_available(without_redeliveries(arrivals), target, checkpoint)
+    return keyed.read_table(spark, target).select(*TRANSFER_COLUMNS)
 
 
 # --- files -------------------------------------------------------------------
@@ -451,11 +459,15 @@ def json_round_trip(spark, sf_dir):
 
 
 def raw_csv_load(spark, sf_dir):
-    """A CSV without creation times, loaded into an emptied table, one row per case."""
+    """CSV files of two layouts without creation times in one folder, loaded into an emptied table, one row per case."""
     raw, table = new_folder(spark, "raw-csv"), new_folder(spark, "loaded")
-    writers.write_cases_csv(view.as_resent(view.case_events(spark, sf_dir, created_at=True)), raw)
+    cases = view.as_resent(view.case_events(spark, sf_dir, created_at=True)).drop("created_at")
+    first = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    writers.write_cases_csv(cases.filter(first), f"{raw}/first")
+    turned = cases.filter(~first).select(*reversed(CASE_COLUMNS), F.lit("left out").alias("remark"))
+    turned.write.option("header", True).option("escape", '"').csv(f"{raw}/second")
     writers.replace_table(readers.read_raw_csv(spark, raw), table)
-    return without_zone(spark.read.parquet(table).select(*TRANSFER_COLUMNS))
+    return without_zone(keyed.read_table(spark, table).select(*TRANSFER_COLUMNS))
 
 
 def dimension_seed(spark, sf_dir):
@@ -468,7 +480,7 @@ def dimension_seed(spark, sf_dir):
     writers.seed_dimension(places, path, "facility_id")
     renamed = places.withColumn("facility_name", F.lit("Renamed"))
     writers.seed_dimension(renamed.unionByName(names), path, "facility_id")
-    return spark.read.parquet(path)
+    return keyed.read_table(spark, path)
 
 
 def stored_analysis(spark, sf_dir):

@@ -9,17 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.operators.derive import transfer_form
-from flowgauge.operators.ingest import EPOCH, fold_watermarks, is_wall_clock, newest_position, position_of, rows_after
+from flowgauge.operators.ingest import EPOCH, is_wall_clock, merge_watermarks, newest_position, position_of, rows_after
 from flowgauge.schema import DEFAULT_SOURCE_ID, WATERMARK_SCHEMA
 from flowgauge.session import settled
-from flowgauge.sources.readers import read_or_empty
+from flowgauge.sources.keyed import read_table, replace_loads
 from flowgauge.sources.writers import insert_counted
 
 
 class Load(NamedTuple):
     inserted: int
     watermark: datetime | None  # to show; the position itself is never taken from a Python clock
-    rejected: int = 0  # rows without a key, set aside
+    rejected: int = 0  # rows without a key, newly set aside
 
 
 def load_increment(
@@ -33,17 +33,16 @@ def load_increment(
 ) -> Load:
     """Bring the source's new rows into the target table.
 
-    The state is a log with one row per run, folded when it is read. Rows are stored
-    first and the log second: a run that breaks off in between is simply repeated, and
-    the rows already stored are not stored twice. The watermark advances to the latest
-    creation time seen, even when every row was known. One writer per target.
+    The state has one row per source and is replaced as a whole. Rows are committed first and the state second: a run that
+    breaks off, at whatever step, is simply repeated, and the rows already stored are not stored twice. The watermark
+    advances to the latest creation time seen, even when every row was known. One writer per target; a second one fails.
 
     The source is read once, behind the watermark. Rows without a key go to ``rejected_path`` of the target.
     Times without a zone are stored in the state as if their clock were UTC's.
     """
     spark = source.sparkSession
-    runs = read_or_empty(spark, state_path, WATERMARK_SCHEMA)
-    position = position_of(fold_watermarks(runs), source_id)
+    state = read_table(spark, state_path, WATERMARK_SCHEMA)
+    position = position_of(state, source_id)
     with settled(rows_after(transfer_form(source), position, strict=strict), "pulled") as pulled:
         newest = newest_position(pulled)
         inserted, rejected = insert_counted(pulled, target_path)
@@ -56,7 +55,8 @@ def load_increment(
         (F.current_timestamp() if run_at is None else F.lit(run_at)).alias("last_run_at"),
         F.lit(inserted).cast("long").alias("rows_transferred"),
     )
-    run.write.mode("append").parquet(state_path)
+    # a handful of rows, held apart from the files that are about to be replaced
+    replace_loads(merge_watermarks(state, run), state_path, "source_id")
     return Load(inserted, _shown(reached, pulled), rejected)
 
 

@@ -41,7 +41,8 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder(spark.sparkContext.applicationId)
 
 
-def _file_system(spark: SparkSession, path: str) -> tuple:
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path as it takes it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
@@ -53,7 +54,7 @@ def new_folder(spark: SparkSession, label: str) -> str:
     """A folder of this application's own, which the file system deletes when the driver ends, also after a failure."""
     root = f"{shared_folder(spark)}/flowgauge/{spark.sparkContext.applicationId}"
     if root not in _passing:
-        system, place = _file_system(spark, root)
+        system, place = file_system(spark, root)
         system.mkdirs(place)
         system.deleteOnExit(place)
         _passing.add(root)
@@ -61,7 +62,7 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    system, place = _file_system(spark, path)
+    system, place = file_system(spark, path)
     system.delete(place, True)
 
 

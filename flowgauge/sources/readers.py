@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 from urllib.parse import unquote, urlsplit
 
 from pyspark.errors import AnalysisException
@@ -18,7 +21,9 @@ from flowgauge.schema import (
     RESULTS_SCHEMA,
     TRANSFER_SCHEMA,
 )
+from flowgauge.session import file_system
 
+HEADER_THREADS = 32
 DATABASE_PREFIXES = ("postgresql://", "postgres://")
 
 
@@ -35,28 +40,60 @@ def read_cases_csv(spark: SparkSession, path: str, schema: T.StructType = CASE_S
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Any subset of the transfer columns, in any order; absent columns become null.
+def csv_files(spark: SparkSession, *paths: str) -> list[str]:
+    """The files at these paths, folders searched through; their contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths)).select("path")
+    return [row["path"] for row in found.collect()]
 
-    All files of a folder need the same header; a file with another one fails the read. Quotes in
-    text are doubled.
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The names in the first line of a file; none for an empty file."""
+    system, place = file_system(spark, path)
+    jvm = spark._jvm.java.io
+    factory = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+    codec, opened = factory.getCodec(place), system.open(place)
+    lines = jvm.BufferedReader(jvm.InputStreamReader(opened if codec is None else codec.createInputStream(opened), "UTF-8"))
+    try:
+        line = lines.readLine()
+    finally:
+        lines.close()
+    return tuple(next(csv.reader([line.removeprefix("\ufeff")]))) if line else ()
+
+
+def read_raw_csv(spark: SparkSession, *paths: str, schema: T.StructType = TRANSFER_SCHEMA) -> DataFrame:
+    """Any subset of the columns of ``schema``, in any order and in each file its own; absent columns become null.
+
+    The first lines are looked at by a few threads of the driver; files with the same header are read together by name,
+    and the reads are united. Names that the schema lacks are left out. Quotes in text are doubled.
     """
-    header = (
-        spark.read.option("header", True)
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-    return header.select(
-        *[
-            (F.col(field.name) if field.name in header.columns else F.lit(None))
-            .cast(field.dataType)
-            .alias(field.name)
-            for field in TRANSFER_SCHEMA
-        ]
-    )
+    files = csv_files(spark, *paths)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        for file, header in zip(files, pool.map(lambda file: header_of(spark, file), files)):
+            if header:
+                layouts.setdefault(header, []).append(file)
+    parts = []
+    for header, own in sorted(layouts.items()):
+        if len(set(header)) < len(header):
+            raise ValueError(f"a column is named twice in the header of {own[0]}")
+        rows = (
+            spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in header]))
+            .option("header", True)
+            .option("nullValue", "")
+            .option("emptyValue", "")
+            .option("escape", '"')
+            .option("enforceSchema", False)
+            .csv(own)
+        )
+        parts.append(
+            rows.select(
+                *[
+                    (F.col(f"`{field.name}`") if field.name in header else F.lit(None)).cast(field.dataType).alias(field.name)
+                    for field in schema
+                ]
+            )
+        )
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def read_cases_json(spark: SparkSession, path: str, schema: T.StructType = CASE_SCHEMA) -> DataFrame:
