@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,14 +63,34 @@ def exact_percentiles(
     cell = [*keys, "metric", "bin"]
     values = _measurements(df, keys, columns, bin_width)
 
-    group = Window.partitionBy(*keys, "metric")
-    up_to_bin = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = (
-        values.groupBy(*cell)
+    bins = values.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
+    targets = settle(_wanted_bins(bins, keys, fractions), "percentile-bins")
+
+    # With few bins wanted, their list is broadcast and Spark filters during the scan; with
+    # many, equal values are counted before the shuffle that meets the list.
+    counted = (
+        values.groupBy(*cell, "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("below", F.sum("n").over(up_to_bin) - F.col("n"))
-        .withColumn("group_size", F.sum("n").over(group))
+        .join(targets.select(*cell).distinct(), cell, "left_semi")
+    )
+    found = _at_ranks(counted, targets, keys)
+    return found.groupBy(*keys).agg(
+        *[
+            F.max(F.when((F.col("metric") == column) & (F.col("name") == name), F.col("percentile"))).alias(
+                f"{column}_{name}"
+            )
+            for column in columns
+            for name in fractions
+        ]
     )
+
+
+def _wanted_bins(bins: DataFrame, keys: Sequence[str], fractions: Mapping[str, float]) -> DataFrame:
+    """The bins that hold the wanted ranks, with the number of values below each, from the counts ``n`` of all bins."""
+    cell = [*keys, "metric", "bin"]
+    group = Window.partitionBy(*keys, "metric")
+    up_to_bin = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = bins.withColumn("below", F.sum("n").over(up_to_bin) - F.col("n")).withColumn("group_size", F.sum("n").over(group))
     wanted = F.explode(
         F.array(
             *[
@@ -80,52 +102,167 @@ def exact_percentiles(
             ]
         )
     )
-    targets = (
-        bins.select(*cell, "n", "below", wanted.alias("w"))
+    return (
+        placed.select(*cell, "n", "below", wanted.alias("w"))
         .select(*cell, "n", "below", "w.name", "w.position")
         .filter(
             (F.ceil("position") >= F.col("below")) & (F.floor("position") < F.col("below") + F.col("n"))
         )
-        .drop("n")
     )
-    targets = settle(targets, "percentile-bins")
 
+
+def _between(low: Column, high: Column) -> Column:
+    return low + (high - low) * (F.col("position") - F.floor("position"))
+
+
+def _at_ranks(counted: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, metric, name and percentile, from the counts ``n`` of each value in the wanted bins."""
+    cell = [*keys, "metric", "bin"]
     in_cell = Window.partitionBy(*cell).orderBy("value")
-    # With few bins wanted, their list is broadcast and Spark filters during the scan; with
-    # many, equal values are counted before the shuffle that meets the list.
-    ranked = (
-        values.groupBy(*cell, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(targets.select(*cell).distinct(), cell, "left_semi")
-        .withColumn("through", F.sum("n").over(in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    )
+    ranked = counted.withColumn("through", F.sum("n").over(in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     first = F.col("below") + F.col("through") - F.col("n")
     last = F.col("below") + F.col("through") - 1
 
     def value_at(rank: Column) -> Column:
         return F.max(F.when(rank.between(first, last), F.col("value")))
 
-    low, high = F.floor("position"), F.ceil("position")
-    found = (
-        ranked.join(targets, cell)
+    return (
+        ranked.join(targets.drop("n"), cell)
         .groupBy(*keys, "metric", "name", "position")
-        .agg(value_at(low).alias("low"), value_at(high).alias("high"))
-        .withColumn(
-            "percentile",
-            F.col("low") + (F.col("high") - F.col("low")) * (F.col("position") - F.floor("position")),
-        )
+        .agg(value_at(F.floor("position")).alias("low"), value_at(F.ceil("position")).alias("high"))
+        .select(*keys, "metric", "name", _between(F.col("low"), F.col("high")).alias("percentile"))
     )
-    return found.groupBy(*keys).agg(
-        *[
-            F.max(F.when((F.col("metric") == column) & (F.col("name") == name), F.col("percentile"))).alias(
-                f"{column}_{name}"
-            )
-            for column in columns
-            for name in fractions
+
+
+class Level(NamedTuple):
+    """A set of group keys, and the fractions wanted of each column in its groups."""
+
+    keys: tuple[str, ...]
+    percentiles: Mapping[str, Mapping[str, float]]
+
+
+def bin_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str], bin_width: float = ONE_SECOND) -> DataFrame:
+    """n, mean and variance of the values of each bin, per keys and column. Bins of several groups add up: see ``rolled_up``."""
+    value = F.col("value")
+    return (
+        _measurements(df, keys, columns, bin_width)
+        .groupBy(*keys, "metric", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("variance"))
+    )
+
+
+def rolled_up(bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The bins' counts by fewer keys; groups with an unknown key are left out."""
+    known = bins.na.drop(subset=list(keys)) if keys else bins
+    return known.groupBy(*keys, "metric", "bin").agg(F.sum("n").alias("n"))
+
+
+def moments(bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, metric, n, mean and std of the groups that the bins add up to."""
+    known = bins.na.drop(subset=list(keys)) if keys else bins
+    group = Window.partitionBy(*keys, "metric")
+    overall = F.sum(F.col("n") * F.col("mean")).over(group) / F.sum("n").over(group)
+    spread = F.sum(F.col("n") * (F.col("variance") + F.pow(F.col("mean") - F.col("overall"), 2)))
+    return (
+        known.withColumn("overall", overall)
+        .groupBy(*keys, "metric")
+        .agg(F.sum("n").alias("n"), F.max("overall").alias("mean"), spread.alias("spread"))
+        .withColumn("std", F.when(F.col("n") > 1, F.sqrt(F.col("spread") / (F.col("n") - 1))))
+        .drop("spread")
+    )
+
+
+def percentiles_at(
+    df: DataFrame, bins: DataFrame, keys: Sequence[str], levels: Sequence[Level], bin_width: float = ONE_SECOND
+) -> list[DataFrame]:
+    """Exact percentiles at several levels by one more scan of ``df``: per level keys, metric, name and percentile.
+
+    ``bins`` are the settled ``bin_counts`` of the finest ``keys``. Each level's wanted bins come from them; the values in
+    all these bins are counted together, and the counts are added up to each level.
+    """
+    cell = ["metric", "bin"]
+    targets = []
+    for level in levels:
+        own = rolled_up(bins.filter(F.col("metric").isin(*level.percentiles)), level.keys)
+        by_fractions = [
+            _wanted_bins(own.filter(F.col("metric") == column), level.keys, fractions)
+            for column, fractions in level.percentiles.items()
         ]
+        targets.append(settle(reduce(DataFrame.unionByName, by_fractions), "percentile-bins"))
+    wanted = [
+        bins.join(own.select(*level.keys, *cell).distinct(), [*level.keys, *cell], "left_semi").select(*keys, *cell)
+        for level, own in zip(levels, targets)
+    ]
+    # keys may be unknown here: a group that has none at one level has one at another
+    cells = settle(reduce(DataFrame.unionByName, wanted).distinct(), "wanted-cells")
+    columns = sorted({column for level in levels for column in level.percentiles})
+    values = _measurements(df, keys, columns, bin_width).groupBy(*keys, *cell, "value").agg(F.count(F.lit(1)).alias("n"))
+    listed = cells.toDF(*[f"wanted_{name}" for name in cells.columns])
+    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"wanted_{name}")) for name in cells.columns])
+    counted = settle(values.join(listed, same, "left_semi"), "wanted-values")
+    found = []
+    for level, own in zip(levels, targets):
+        known = counted.na.drop(subset=list(level.keys)) if level.keys else counted
+        added = known.groupBy(*level.keys, *cell, "value").agg(F.sum("n").alias("n"))
+        found.append(_at_ranks(added, own, level.keys))
+    return found
+
+
+def _edges(bin_width: float) -> tuple[Column, Column]:
+    """The least and the largest value that a bin may hold."""
+    number = F.col("bin")
+    place = F.when(number < 0, -1 - number).otherwise(number).cast("double")
+
+    def edge(at: Column) -> Column:
+        wide = F.lit(EVEN_BINS * bin_width) * F.pow(F.lit(2.0), (at - EVEN_BINS) / BINS_PER_DOUBLING)
+        return F.when(at < EVEN_BINS, at * F.lit(bin_width)).otherwise(wide)
+
+    low, high = edge(place), edge(place + 1)
+    return F.when(number < 0, -high).otherwise(low), F.when(number < 0, -low).otherwise(high)
+
+
+def estimated_percentiles(bins: DataFrame, keys: Sequence[str], fractions: Mapping[str, float], bin_width: float) -> DataFrame:
+    """keys, metric, name, estimate and bound: percentiles from the counts of bins alone, without another scan.
+
+    The values of a bin are taken as evenly spread over it, so a rank's value is wrong by less than the bin's width;
+    ``bound`` is the largest width of the bins that the percentile lies in or between.
+    """
+    low, high = _edges(bin_width)
+    targets = _wanted_bins(bins, keys, fractions).withColumn("low", low).withColumn("high", high)
+
+    def value_at(rank: Column) -> Column:
+        inside = (rank - F.col("below") + 0.5) / F.col("n")
+        holds = (rank >= F.col("below")) & (rank < F.col("below") + F.col("n"))
+        return F.max(F.when(holds, F.col("low") + (F.col("high") - F.col("low")) * inside))
+
+    return (
+        targets.groupBy(*keys, "metric", "name", "position")
+        .agg(
+            value_at(F.floor("position")).alias("first"),
+            value_at(F.ceil("position")).alias("second"),
+            F.max(F.col("high") - F.col("low")).alias("bound"),
+        )
+        .select(*keys, "metric", "name", _between(F.col("first"), F.col("second")).alias("estimate"), "bound")
     )
 
 
+def numbered(df: DataFrame, order: Sequence[Column], into: str = "position", partitions: int | None = None) -> DataFrame:
+    """``df`` with the place of each row in the whole order, from 1; rows that are equal in it come in any order.
+
+    Rows are dealt out by ranges of the order; a range's rows are numbered on their own, and the sizes of the ranges before
+    it are added, so no task sees all rows.
+    """
+    ranges = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(df.repartitionByRange(ranges, *order).withColumn("range_no", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range
+    offsets = ranged.groupBy("range_no").agg(F.count(F.lit(1)).alias("size"))
+    offsets = offsets.select("range_no", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("range_no").orderBy(*order)
+    joined = ranged.join(F.broadcast(offsets), "range_no")
+    return joined.withColumn(into, F.row_number().over(within) + F.col("offset")).drop("range_no", "offset")
+
+
 def running_total(df: DataFrame, order: str, amount: str, into: str, partitions: int | None = None) -> DataFrame:
     """Sum of ``amount`` over all rows with a smaller ``order``; ``order`` must be unique.
 

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from flowgauge import texts
 from flowgauge.functions.columns import graded, severity_rank
+from flowgauge.functions.stats import numbered
 from flowgauge.functions.text import fill, grouped, lookup, nearest, tenth_percent, whole, whole_percent
 from flowgauge.operators.aggregate import cancellation_rate, facility_overview, longest_phase
+from flowgauge.operators.levels import Summaries
 from flowgauge.operators.ranking import most_late, most_variable, wide_gaps
 from flowgauge.schema import INSIGHT_SCHEMA
 
@@ -227,33 +229,43 @@ def cancellations(rate_row: DataFrame) -> DataFrame:
     )
 
 
-def in_order(findings: DataFrame) -> DataFrame:
-    """By severity, then family, then each family's own order."""
-    return findings.orderBy(
+def _order() -> list[Column]:
+    return [
         severity_rank(F.col("severity")),
-        "family",
+        F.col("family"),
         F.asc_nulls_last("place"),
         F.asc_nulls_last("first_key"),
         F.asc_nulls_last("second_key"),
-    )
+    ]
 
 
-def ranked_findings(cases: DataFrame, groups: DataFrame) -> DataFrame:
-    """All six families with their sort columns, not yet sorted.
+def in_order(findings: DataFrame) -> DataFrame:
+    """By severity, then family, then each family's own order."""
+    return findings.orderBy(*_order())
 
-    ``cases`` has durations; ``groups`` comes from ``aggregates`` and is read by four
-    families, so settle it first. Both are read more than once.
-    """
+
+def positioned(findings: DataFrame) -> DataFrame:
+    """The findings with their place in that order as ``position``, from 1, in place of the sort columns."""
+    return numbered(findings, _order(), "position").drop(*SORT_COLUMNS)
+
+
+def findings_of(found: Summaries) -> DataFrame:
+    """All six families with their sort columns, not yet sorted. Four of them read the groups, so settle these first."""
     families = [
-        high_variance(groups),
-        late_starts(groups),
-        bottlenecks(groups),
-        cross_facility(groups),
-        facility_summaries(facility_overview(cases)),
-        cancellations(cancellation_rate(cases)),
+        high_variance(found.groups),
+        late_starts(found.groups),
+        bottlenecks(found.groups),
+        cross_facility(found.groups),
+        facility_summaries(found.overview),
+        cancellations(found.cancellation),
     ]
     return reduce(DataFrame.unionByName, families)
 
 
+def ranked_findings(cases: DataFrame, groups: DataFrame) -> DataFrame:
+    """The same from cases with durations, which are read more than once, and the ``aggregates`` of their groups."""
+    return findings_of(Summaries(groups, facility_overview(cases), cancellation_rate(cases)))
+
+
 def all_insights(cases: DataFrame, groups: DataFrame) -> DataFrame:
     return in_order(ranked_findings(cases, groups)).drop(*SORT_COLUMNS)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.fixed_values import SEARCH_GRID
 from flowgauge.functions.columns import in_test_fold
-from flowgauge.functions.stats import area_under_roc, regression_metrics
+from flowgauge.functions.stats import area_under_roc, numbered, regression_metrics
 from flowgauge.operators.aggregate import class_balance, duration_threshold
 from flowgauge.operators.derive import completed_only, with_checkin_features
 from flowgauge.schema import CLASSIFIER_SCHEMA, COMPLETED, REGRESSOR_SCHEMA
@@ -35,23 +36,34 @@ FEATURES = (
     "dur_op_to_postop",
 )
 MIN_ROWS = 100
+MOST_CATEGORIES = 10_000  # of a feature; statistics of a tree node have a bin for each
 SEED = 42
 # ---------------------------------------------------------------------------
 
 
 def label_encode(df: DataFrame, columns: Sequence[str] = CATEGORICALS) -> DataFrame:
-    """Add ``<column>_enc``: the position of each value in sorted order, null as 'unknown'.
+    """Add ``<column>_enc``: the position of each value in sorted order, from 0, null as 'unknown'.
 
-    The values of a category must be few; the encoder keeps them as a list.
+    The distinct values of all categories are numbered in ordered ranges and joined to the rows; the dictionary is settled, so
+    its measured size decides how. Only the number of values of each category reaches the driver. ``df`` is read twice.
     """
     present = [name for name in columns if name in df.columns]
+    if not present:
+        return df
     filled = df.withColumns({f"{name}_text": F.coalesce(F.col(name), F.lit("unknown")) for name in present})
-    indexer = StringIndexer(
-        inputCols=[f"{name}_text" for name in present],
-        outputCols=[f"{name}_enc" for name in present],
-        stringOrderType="alphabetAsc",
-    )
-    return indexer.fit(filled).transform(filled).drop(*[f"{name}_text" for name in present])
+    named = F.array(*[F.struct(F.lit(name).alias("category"), F.col(f"{name}_text").alias("value")) for name in present])
+    values = filled.select(F.inline(named)).distinct()
+    placed = settle(numbered(values, [F.col("category"), F.col("value")], "place"), "dictionary")
+    spans = placed.groupBy("category").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("size"))
+    span = {row["category"]: row for row in spans.collect()}  # one row per category
+    for name in present:
+        first, size = (span[name]["first"], span[name]["size"]) if name in span else (1, 0)
+        # tells the trees that the numbers are names, and how many
+        nominal = {"ml_attr": {"type": "nominal", "name": f"{name}_enc", "num_vals": size}}
+        code = (F.col("place") - first).cast("double").alias(f"{name}_enc", metadata=nominal)
+        own = placed.filter(F.col("category") == name).select(F.col("value").alias(f"{name}_text"), code)
+        filled = filled.join(own, f"{name}_text", "left")
+    return filled.select(*df.columns, *[f"{name}_enc" for name in present])
 
 
 def prepare_features(df: DataFrame, statuses: Sequence[str] = (COMPLETED,)) -> tuple[DataFrame, list[str]]:
@@ -91,9 +103,12 @@ def _kept(rows: DataFrame) -> Iterator[DataFrame]:
 
 
 def _bins(df: DataFrame, features: Sequence[str]) -> int:
-    """Split bins: at least one per value of the widest category."""
-    sizes = [len(df.schema[name].metadata.get("ml_attr", {}).get("vals", ())) for name in features]
-    return max(64, *sizes)
+    """Split bins: at least one per value of the widest category, which must not have too many for a tree."""
+    sizes = {name: df.schema[name].metadata.get("ml_attr", {}).get("num_vals", 0) for name in features}
+    for name, size in sizes.items():
+        if size > MOST_CATEGORIES:
+            raise ValueError(f"{name} has {size} values and trees take {MOST_CATEGORIES} at most: leave it out or group its values")
+    return max(64, *sizes.values())
 
 
 def _fold_sizes(rows: DataFrame) -> tuple[int, int]:
@@ -183,16 +198,19 @@ def model_search(
     df: DataFrame,
     features: Sequence[str],
     grid: Sequence[Mapping[str, float]] = SEARCH_GRID,
+    at_once: int = 4,
 ) -> DataFrame | None:
     """Mean absolute error of each setting on the test fold, best first.
+
+    The prepared rows are held once for all fits, of which ``at_once`` run side by side: what one leaves idle between
+    its levels the others use.
     """
     rows = _vectors(df, features, "dur_total")
     if not has_rows(rows):
         return None
-    rows = settle(rows, "training-rows")
-    train, test = rows.filter(~F.col("in_test")), rows.filter("in_test")
-    outcomes = []
-    for number, setting in enumerate(grid, start=1):
+    bins = _bins(df, features)
+
+    def outcome(number: int, setting: Mapping[str, float]) -> tuple:
         trees = int(setting["n_estimators"])
         model = GBTRegressor(
             maxDepth=int(setting["max_depth"]),
@@ -200,10 +218,14 @@ def model_search(
             stepSize=float(setting["learning_rate"]),
             subsamplingRate=float(setting.get("subsample", 1.0)),
             featureSubsetStrategy=str(setting.get("colsample", "all")),
-            maxBins=_bins(df, features),
+            maxBins=bins,
             seed=SEED,
         ).fit(train)
         mae = regression_metrics(model.transform(test), "label", "prediction").first()["mae"]
-        outcomes.append((number, int(setting["max_depth"]), trees, float(setting["learning_rate"]), mae))
+        return number, int(setting["max_depth"]), trees, float(setting["learning_rate"]), mae
+
+    with _kept(settle(rows, "training-rows")) as held, ThreadPoolExecutor(at_once) as pool:
+        train, test = held.filter(~F.col("in_test")), held.filter("in_test")
+        outcomes = list(pool.map(outcome, range(1, len(grid) + 1), grid))
     schema = "setting int, max_depth int, trees int, learning_rate double, mae_minutes double"
     return df.sparkSession.createDataFrame(outcomes, schema).orderBy("mae_minutes", "setting")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import pairwise
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowgauge.functions.columns import is_weekday
 from flowgauge.schema import CASE_STATUSES, COMPLETED, MILESTONES, PHASE_COLUMNS, TOTAL
-from flowgauge.session import settle
 
 REQUIRED = ("event_id", "facility_id", "procedure_type", *MILESTONES)
 
@@ -76,15 +76,34 @@ def with_violations(df: DataFrame, rules: Mapping[str, Column] | None = None) ->
 def split_by_quality(
     df: DataFrame, rules: Mapping[str, Column] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The valid rows, and the quarantined rows with the rules they break.
-
-    The rules run once, for both halves.
-    """
-    checked = settle(with_violations(df, rules), "checked")
+    """The valid rows, and the quarantined rows with the rules they break. Nothing is written; for both, see ``write_by_quality``."""
+    checked = with_violations(df, rules)
     valid = checked.filter(F.size("violations") == 0).drop("violations")
     return valid, checked.filter(F.size("violations") > 0)
 
 
+VERDICT, VALID, QUARANTINED = "verdict", "valid", "quarantined"
+
+
+def write_by_quality(df: DataFrame, path: str, rules: Mapping[str, Column] | None = None) -> None:
+    """Check the rows once and write both halves in one job, each to its own part of the table at ``path``."""
+    verdict = F.when(F.size("violations") == 0, VALID).otherwise(QUARANTINED)
+    with_violations(df, rules).withColumn(VERDICT, verdict).write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+
+
+def read_by_quality(spark: SparkSession, path: str, verdict: str, schema: T.StructType) -> DataFrame:
+    """One half of such a table, from its own files; ``schema`` is that of the rows checked."""
+    parted = T.StructType([*schema.fields, T.StructField("violations", T.ArrayType(T.StringType())), T.StructField(VERDICT, T.StringType())])
+    half = spark.read.schema(parted).parquet(path).filter(F.col(VERDICT) == verdict).drop(VERDICT)
+    return half.drop("violations") if verdict == VALID else half
+
+
+def weights_off(weights: DataFrame, by: Sequence[str], tolerance: float = 1e-6) -> DataFrame:
+    """The groups of ``by`` whose ``weight`` values do not add up to 1, with their sum."""
+    sums = weights.groupBy(*by).agg(F.sum("weight").alias("total"))
+    return sums.filter(F.coalesce(F.abs(F.col("total") - 1) > tolerance, F.lit(True)))
+
+
 def violation_counts(df: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per rule with the number of rows that break it; one pass over the data."""
     rules = case_rules() if rules is None else rules

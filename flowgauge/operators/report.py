@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from flowgauge.operators.ranking import top_groups
 from flowgauge.schema import SEVERITY_ORDER
 
 
+MOST_COLUMNS = 200
+
+
 def kpi_row(overview: DataFrame, rate_row: DataFrame) -> DataFrame:
     """One row: completed cases, facilities, weighted mean duration, cancellations.
 
@@ -69,9 +74,17 @@ def phase_chart(groups: DataFrame) -> DataFrame:
     return long.withColumn("mean_of_means", nearest(F.col("mean_of_means"), 1))
 
 
-def phase_matrix(groups: DataFrame) -> DataFrame:
-    """One row per phase, one column per facility; the facilities are read from the groups."""
-    return phase_chart(groups).groupBy("phase").pivot("facility_id").agg(F.first("mean_of_means"))
+def phase_matrix(groups: DataFrame, facilities: Sequence[str] | None = None) -> DataFrame:
+    """One row per phase, one column per facility of the given ones.
+
+    Without a list the facilities are read from the groups, and more than ``MOST_COLUMNS`` of them are refused.
+    """
+    if facilities is None:
+        seen = groups.select("facility_id").distinct().orderBy("facility_id").limit(MOST_COLUMNS + 1).collect()
+        facilities = [row["facility_id"] for row in seen]
+        if len(facilities) > MOST_COLUMNS:
+            raise ValueError(f"more than {MOST_COLUMNS} facilities: name those wanted, or use phase_chart with a row for each")
+    return phase_chart(groups).groupBy("phase").pivot("facility_id", list(facilities)).agg(F.first("mean_of_means"))
 
 
 def top_procedures_chart(groups: DataFrame, k: int = 10) -> DataFrame:

@@ -5,30 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flowgauge.operators import report
-from flowgauge.operators.aggregate import aggregates
 from flowgauge.operators.derive import with_durations
-from flowgauge.operators.insights import SORT_COLUMNS, in_order, ranked_findings
+from flowgauge.operators.insights import findings_of, positioned
+from flowgauge.operators.levels import summaries
 from flowgauge.operators.models import (
     prepare_features,
     train_discharge_predictor,
     train_recovery_classifier,
 )
+from flowgauge.schema import DURATIONS, KEYS
 from flowgauge.session import settle
 from flowgauge.sources.readers import load_cases, read_aggregates, read_results, stored_insights
 from flowgauge.sources.writers import results_document, write_aggregates, write_results
 
 
+SUMMARY_COLUMNS = ("event_id", *KEYS, "case_status", "scheduled_start_time", "op_start_time", *DURATIONS)
+MODEL_COLUMNS = ("checkin_time", "anesthesia_type", "asa_class")
+
+
 def analyse(
     cases: DataFrame, *, with_models: bool = True, trees: int = 100, timestamp: str | None = None
 ) -> dict[str, DataFrame]:
     """Frames ``aggregates``, ``insights`` and the one-row ``results``.
 
-    The timed cases and the group statistics are written once to the shared folder,
-    since several branches read them.
+    Of the timed cases what the branches read is written once to the shared folder; the summaries scan it twice.
     """
-    timed = settle(with_durations(cases), "timed-cases")
-    groups = settle(aggregates(timed), "aggregates")
-    findings = settle(ranked_findings(timed, groups), "findings")
+    columns = SUMMARY_COLUMNS + (MODEL_COLUMNS if with_models else ())
+    derived = with_durations(cases)
+    timed = settle(derived.select(*[name for name in columns if name in derived.columns]), "timed-cases")
+    found = summaries(timed)
+    groups = settle(found.groups, "aggregates")
+    findings = settle(findings_of(found._replace(groups=groups)), "findings")
     predictor = classifier = None
     if with_models:
         prepared, features = prepare_features(timed)
@@ -37,7 +44,7 @@ def analyse(
     return {
         "cases": timed,
         "aggregates": groups,
-        "insights": in_order(findings).drop(*SORT_COLUMNS),
+        "insights": positioned(findings),
         "results": results_document(findings, predictor, classifier, timestamp),
     }
 

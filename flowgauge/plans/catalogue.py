@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgauge.functions import columns as C
+from flowgauge.functions import stats
 from flowgauge.functions.stats import area_under_roc, regression_metrics
 from flowgauge.operators import (
     aggregate,
@@ -17,6 +18,7 @@ from flowgauge.operators import (
     enrich,
     ingest,
     insights,
+    levels,
     models,
     profile,
     quality,
@@ -25,7 +27,7 @@ from flowgauge.operators import (
 )
 from flowgauge.plans.analysis import analyse
 from flowgauge.plans.increment import load_increment
-from flowgauge.schema import CASE_COLUMNS, CASE_SCHEMA, DURATIONS, KEYS, PHASE_COLUMNS, TRANSFER_COLUMNS
+from flowgauge.schema import CASE_COLUMNS, CASE_SCHEMA, DURATIONS, KEYS, MILESTONES, PHASE_COLUMNS, TRANSFER_COLUMNS
 from flowgauge.session import new_folder, settle
 from flowgauge.sources import case_view as view
 from flowgauge.sources import keyed, readers, writers
@@ -37,6 +39,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_LOAD = datetime(1998, 1, 1)
 FIRST_RUN, SECOND_RUN = datetime(1998, 1, 2), datetime(2002, 1, 1)
 
+ESTIMATE_BIN = 5.0  # minutes
 FILES_PER_DELIVERY = 4  # and in each batch of the stream
 
 # What the group statistics read of a case besides its durations, and what a site's do.
@@ -131,6 +134,50 @@ def aggregates(spark, sf_dir):
     return rounded(_groups(spark, sf_dir, ("mean", "median", "p90", "std")))
 
 
+def aggregates_of_levels(spark, sf_dir):
+    """The same, and the facilities', from one count of bins; a facility has no procedure and only what its overview tells."""
+    found = levels.summaries(view.settled_cases(spark, sf_dir, (*GROUP_COLUMNS, *DURATIONS)))
+    sites = found.overview.select(
+        "facility_id",
+        F.col("avg_total_minutes").alias("dur_total_mean"),
+        F.col("p90_total_minutes").alias("dur_total_p90"),
+        F.col("total_cases").alias("case_volume"),
+    )
+    return rounded(found.groups.unionByName(sites, allowMissingColumns=True))
+
+
+def percentile_estimates(spark, sf_dir):
+    """Percentiles from the counts of five-minute bins beside the exact ones, and how far apart they may be and are."""
+    cases = derive.completed_only(view.settled_cases(spark, sf_dir, (*SITE_COLUMNS, *PHASE_COLUMNS)))
+    keys = ("facility_id",)
+    bins = settle(stats.bin_counts(cases, keys, DURATIONS, ESTIMATE_BIN), "bins")
+    estimates = stats.estimated_percentiles(stats.rolled_up(bins, keys), keys, aggregate.PERCENTILES, ESTIMATE_BIN)
+    level = stats.Level(keys, {name: aggregate.PERCENTILES for name in DURATIONS})
+    exact = stats.percentiles_at(cases, bins, keys, [level], ESTIMATE_BIN)[0]
+    both = estimates.join(exact, [*keys, "metric", "name"])
+    error = F.abs(F.col("estimate") - F.col("percentile"))
+    return rounded(both.select(*keys, "metric", "name", "estimate", F.col("percentile").alias("exact"), "bound", error.alias("error")))
+
+
+def aggregates_csv(spark, sf_dir):
+    """The aggregates written as CSV and read back."""
+    path = new_folder(spark, "aggregates-csv")
+    writers.write_aggregates(_groups(spark, sf_dir, ("mean", "median", "p90", "std")), path)
+    return rounded(readers.read_aggregates(spark, path))
+
+
+def timestamps_from_text(spark, sf_dir):
+    """Milestones sent as text, with and without a fraction, parsed again."""
+    cases = view.case_events(spark, sf_dir)
+    texts = {
+        name: F.when(F.col("asa_class") % 2 == 0, F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(
+            F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        )
+        for name in MILESTONES
+    }
+    return without_zone(derive.as_timestamps(cases.select("event_id", "asa_class", *MILESTONES).withColumns(texts)).drop("asa_class"))
+
+
 def late_start_rate(spark, sf_dir):
     return rounded(aggregate.late_start_rates(view.case_events(spark, sf_dir)), 6)
 
@@ -202,14 +249,13 @@ def top20_volume(spark, sf_dir):
 
 def _findings(spark, sf_dir) -> DataFrame:
     cases = view.settled_cases(spark, sf_dir, (*GROUP_COLUMNS, *DURATIONS))
-    wanted = aggregate.aggregates(cases, statistics=("mean", "std"))
-    p90 = aggregate.aggregates(cases, columns=("dur_total",), statistics=("p90",))
-    groups = settle(wanted.join(p90.select(*KEYS, "dur_total_p90"), list(KEYS)), "groups")
-    return insights.ranked_findings(cases, groups)
+    wanted = {"dur_total": {"p90": aggregate.PERCENTILES["p90"]}}
+    found = levels.summaries(cases, statistics=("mean", "p90", "std"), group_percentiles=wanted)
+    return insights.findings_of(found._replace(groups=settle(found.groups, "groups")))
 
 
 def insights_all(spark, sf_dir):
-    return insights.in_order(_findings(spark, sf_dir)).drop(*insights.SORT_COLUMNS)
+    return insights.positioned(_findings(spark, sf_dir))
 
 
 def insight_counts(spark, sf_dir):
@@ -255,6 +301,38 @@ def dq_valid(spark, sf_dir):
     return good.select("event_id", "facility_id", "case_status")
 
 
+def dq_written(spark, sf_dir):
+    """Both halves written in one job: how many rows each has, and by how many rules the quarantined are held back."""
+    cases, path = view.flawed_cases(spark, sf_dir), new_folder(spark, "checked")
+    quality.write_by_quality(cases, path)
+    good, bad = (quality.read_by_quality(spark, path, half, cases.schema) for half in (quality.VALID, quality.QUARANTINED))
+    counted = good.select(F.lit(quality.VALID).alias("verdict"), F.lit(0).alias("broken")).unionAll(
+        bad.select(F.lit(quality.QUARANTINED), F.size("violations"))
+    )
+    return counted.groupBy("verdict").agg(F.count(F.lit(1)).alias("cases"), F.sum("broken").alias("broken_rules"))
+
+
+def dq_orphan_procedures(spark, sf_dir):
+    """Procedures that a catalog without one of its service lines lacks."""
+    catalog = view.catalog(spark, sf_dir).filter("service_line <> 'ECONOMY'")
+    return quality.orphan_keys(view.flawed_cases(spark, sf_dir), catalog, "procedure_type")
+
+
+def weights_adding_up(spark, sf_dir):
+    """Anesthesia weights per service line: shares that add up to 1, but for one line where a type was left out."""
+    mix = profile.anesthesia_mix(view.case_events(spark, sf_dir), view.catalog(spark, sf_dir))
+    given = mix.withColumnRenamed("share", "weight").filter("not (service_line = 'ECONOMY' and anesthesia_type = 'N')")
+    return rounded(quality.weights_off(given, ["service_line"]))
+
+
+def sample_guard(spark, sf_dir):
+    """Whether all completed cases, and those that were converted on Saturdays, are enough to learn from."""
+    cases = view.case_events(spark, sf_dir)
+    few = cases.filter("case_status = 'converted_to_inpatient' and weekday(checkin_time) = 5 and asa_class = 1")
+    rows = [("completed", models.has_rows(derive.completed_only(cases))), ("converted", models.has_rows(few))]
+    return spark.createDataFrame(rows, "cases string, enough boolean")
+
+
 def dq_orphans(spark, sf_dir):
     cases = view.flawed_cases(spark, sf_dir)
     return quality.orphan_keys(cases, view.facilities(spark, sf_dir), "facility_id")
@@ -319,6 +397,27 @@ def hourly_profile(spark, sf_dir):
     return rounded(profile.hourly_profile(view.case_events(spark, sf_dir)), 6)
 
 
+def hourly_expected(spark, sf_dir):
+    """Check-ins per hour beside the share of the schedule in that hour."""
+    cases = view.case_events(spark, sf_dir)
+    planned = profile.hourly_profile(cases, "scheduled_start_time").select("hour", F.col("n").alias("weight"))
+    return rounded(profile.hourly_profile(cases, expected=planned), 6)
+
+
+def anesthesia_expected(spark, sf_dir):
+    """All cases' mix beside that of the completed ones."""
+    cases, catalog = view.case_events(spark, sf_dir), view.catalog(spark, sf_dir)
+    weights = profile.anesthesia_mix(derive.completed_only(cases), catalog).withColumnRenamed("cases", "weight").drop("share")
+    return rounded(profile.anesthesia_mix(cases, catalog, weights), 6)
+
+
+def asa_expected(spark, sf_dir):
+    """All cases' classes beside those of the completed ones."""
+    cases = view.case_events(spark, sf_dir)
+    weights = profile.asa_mix(derive.completed_only(cases)).select("asa_class", F.col("n").alias("weight"))
+    return rounded(profile.asa_mix(cases, weights), 6)
+
+
 def calendar_spine_volume(spark, sf_dir):
     return profile.daily_volume(view.case_events(spark, sf_dir), view.facilities(spark, sf_dir))
 
@@ -572,6 +671,28 @@ def model_search(spark, sf_dir):
     return found.select("setting", "max_depth", "trees", "learning_rate", better)
 
 
+def model_search_errors(spark, sf_dir):
+    """What the search found: each setting's error in minutes, and its place by it."""
+    prepared, features = _prepared(spark, sf_dir)
+    found = models.model_search(prepared, features, COMPARED_SETTINGS)
+    return stats.numbered(found, [F.col("mae_minutes"), F.col("setting")], "place", 1)
+
+
+def model_importances(spark, sf_dir):
+    """The features of the trained predictor by their weight in it."""
+    prepared, features = _prepared(spark, sf_dir)
+    fitted = models.train_discharge_predictor(prepared, features, trees=10)
+    return report.importance_ranking(fitted.select("feature_importance"))
+
+
+def model_cards(spark, sf_dir):
+    """The quality figures of both trained models, from a results document that was stored and read back."""
+    cases = view.settled_cases(spark, sf_dir, (*MODEL_COLUMNS, "scheduled_start_time", "op_start_time"))
+    path = new_folder(spark, "results")
+    writers.write_results(analyse(cases, trees=10)["results"], path)
+    return report.model_cards(readers.read_results(spark, path))
+
+
 def importance_ranking(spark, sf_dir):
     """The ranking of a map of weights: here the share of each phase in all minutes."""
     cases = derive.completed_only(view.timed_cases(spark, sf_dir))
@@ -593,6 +714,10 @@ QUERIES: dict[str, Query] = {
         weekday_cases,
         case_labels,
         aggregates,
+        aggregates_of_levels,
+        percentile_estimates,
+        aggregates_csv,
+        timestamps_from_text,
         late_start_rate,
         aggregates_late_join,
         phase_mean_of_means,
@@ -616,7 +741,11 @@ QUERIES: dict[str, Query] = {
         dq_violations,
         dq_quarantine,
         dq_valid,
+        dq_written,
         dq_orphans,
+        dq_orphan_procedures,
+        weights_adding_up,
+        sample_guard,
         dq_duplicates,
         milestone_order,
         duration_additivity,
@@ -627,6 +756,9 @@ QUERIES: dict[str, Query] = {
         lognormal_fit,
         lognormal_drift,
         hourly_profile,
+        hourly_expected,
+        anesthesia_expected,
+        asa_expected,
         calendar_spine_volume,
         status_mix,
         case_mix,
@@ -653,6 +785,9 @@ QUERIES: dict[str, Query] = {
         discharge_predictor,
         recovery_classifier,
         model_search,
+        model_search_errors,
+        model_importances,
+        model_cards,
         importance_ranking,
     )
 }

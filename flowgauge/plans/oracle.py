@@ -216,7 +216,12 @@ def _near(value: str, places: int = 1) -> str:
     return f"CAST(format('{{:.{places}f}}', {value}) AS DOUBLE)"
 
 
-def _finding(kind: str, severity: str, source: str, wording: dict[str, str], text: dict[str, str], **fields: str) -> str:
+ORDER_COLUMNS = {"place": "DOUBLE", "first_key": "VARCHAR", "second_key": "VARCHAR"}
+
+
+def _finding(
+    kind: str, severity: str, source: str, wording: dict[str, str], text: dict[str, str], order: tuple[str, str, str], **fields: str
+) -> str:
     common = {
         "facility": "VARCHAR",
         "procedure": "VARCHAR",
@@ -241,6 +246,7 @@ def _finding(kind: str, severity: str, source: str, wording: dict[str, str], tex
     columns += [
         f"{text.get(part) or _sentence(wording[part])} AS {part}" for part in ("title", "message", "impact", "action")
     ]
+    columns += [f"CAST({value} AS {sort}) AS {name}" for value, (name, sort) in zip(order, ORDER_COLUMNS.items())]
     return f"SELECT {', '.join(columns)} FROM {source}"
 
 
@@ -284,6 +290,7 @@ def _insights() -> str:
             },
             facility="facility_id",
             procedure="procedure_type",
+            order=("-dur_total_std", "facility_id", "procedure_type"),
             total_duration_std=_near("dur_total_std", 1),
             coefficient_of_variation=_near("cv", 1),
         ),
@@ -303,6 +310,7 @@ def _insights() -> str:
             },
             facility="facility_id",
             procedure="procedure_type",
+            order=("-late_start_rate", "facility_id", "procedure_type"),
             late_start_rate=_near("late_start_rate", 3),
         ),
         _finding(
@@ -327,6 +335,7 @@ def _insights() -> str:
             },
             facility="facility_id",
             phase="phase",
+            order=("NULL", "facility_id", "NULL"),
             phase_minutes=_near("phase_minutes", 1),
             phase_pct=_near("phase_pct", 1),
         ),
@@ -338,6 +347,7 @@ def _insights() -> str:
             {part: _sentence(cross[part], **gap) for part in ("title", "message", "impact", "action")},
             facility="slowest_facility",
             procedure="procedure_type",
+            order=("NULL", "first_facility", "procedure_type"),
             gap_minutes=_near("gap_minutes", 1),
             gap_pct=_near("gap_pct", 1),
             reference_facility="fastest_facility",
@@ -358,6 +368,7 @@ def _insights() -> str:
                 ),
             },
             facility="facility_id",
+            order=("NULL", "facility_id", "NULL"),
             avg_total_minutes=_near("avg_total_minutes", 1),
             p90_total_minutes=_near("p90_total_minutes", 1),
             total_cases="total_cases",
@@ -377,15 +388,17 @@ def _insights() -> str:
                 "impact": raised("impact"),
                 "action": raised("action"),
             },
+            order=("NULL", "NULL", "NULL"),
             rate=_near("rate", 4),
             count='"count"',
             total="total",
         ),
     ]
-    return " UNION ALL ".join(families)
+    return " UNION ALL ".join(f"SELECT *, {number} AS family FROM ({family})" for number, family in enumerate(families, 1))
 
 
-CTES["insights"] = _insights()
+CTES["insights_placed"] = _insights()
+CTES["insights"] = f"SELECT * EXCLUDE (family, {', '.join(ORDER_COLUMNS)}) FROM insights_placed"
 
 # Which earlier tables each one reads.
 NEEDS = {
@@ -408,7 +421,8 @@ def _with(query: str) -> str:
         if re.search(rf"\b(FROM|JOIN) {name}\b", query):
             visit(name)
     tables = ", ".join(f"{name} AS ({CTES[name]})" for name in ordered)
-    return f"WITH {tables} {query}" if tables else query
+    own = f"SELECT * FROM ({query})" if query.lstrip().startswith("WITH") else query
+    return f"WITH {tables} {own}" if tables else query
 
 
 def _r(expression: str, name: str | None = None, places: int = 4) -> str:
@@ -471,6 +485,79 @@ _QUERIES = {
     "aggregates": "SELECT facility_id, procedure_type, "
     + ", ".join(_r(f"{name}_{stat}") for name in DURATIONS for stat in ("mean", "median", "p90", "std"))
     + f", case_volume, {_r('late_start_rate')} FROM groups",
+    "aggregates_of_levels": "SELECT facility_id, procedure_type, "
+    + ", ".join(_r(f"{name}_{stat}") for name in DURATIONS for stat in ("mean", "median", "p90", "std"))
+    + f""", case_volume, {_r('late_start_rate')} FROM groups
+        UNION ALL SELECT facility_id, NULL, """
+    + ", ".join(
+        {"dur_total_mean": "round(avg_total_minutes, 4)", "dur_total_p90": "round(p90_total_minutes, 4)"}.get(f"{name}_{stat}", "NULL")
+        for name in DURATIONS
+        for stat in ("mean", "median", "p90", "std")
+    )
+    + ", total_cases, NULL FROM overview",
+    "percentile_estimates": f"""
+        WITH long AS (
+            SELECT facility_id, metric, value FROM (SELECT facility_id, {", ".join(DURATIONS)} FROM done)
+            UNPIVOT (value FOR metric IN ({", ".join(DURATIONS)}))
+        ), wanted(name, fraction) AS (VALUES ('median', 0.5::DOUBLE), ('p90', 0.9::DOUBLE)),
+        bins AS (
+            SELECT *, sum(n) OVER (PARTITION BY facility_id, metric ORDER BY bin) - n AS below,
+                sum(n) OVER (PARTITION BY facility_id, metric) AS size
+            FROM (SELECT facility_id, metric, floor(value / 5) AS bin, count(*) AS n FROM long GROUP BY ALL)
+        ), placed AS (SELECT *, fraction * (size - 1) AS position FROM bins, wanted),
+        estimates AS (
+            SELECT facility_id, metric, name, any_value(position) AS position,
+                max(5 * (bin + (floor(position) - below + 0.5) / n)) FILTER (floor(position) >= below AND floor(position) < below + n) AS low,
+                max(5 * (bin + (ceil(position) - below + 0.5) / n)) FILTER (ceil(position) >= below AND ceil(position) < below + n) AS high
+            FROM placed GROUP BY facility_id, metric, name
+        ), exact AS (
+            SELECT facility_id, metric, name, quantile_cont(value, 0.5) AS exact FROM long, wanted WHERE name = 'median' GROUP BY ALL
+            UNION ALL
+            SELECT facility_id, metric, name, quantile_cont(value, 0.9) AS exact FROM long, wanted WHERE name = 'p90' GROUP BY ALL
+        ), joined AS (
+            SELECT *, low + (high - low) * (position - floor(position)) AS estimate
+            FROM estimates JOIN exact USING (facility_id, metric, name)
+        )
+        SELECT facility_id, metric, name, {_r("estimate")}, {_r("exact")}, 5.0::DOUBLE AS bound,
+            {_r("abs(estimate - exact)", "error")} FROM joined""",
+    "aggregates_csv": "SELECT facility_id, procedure_type, "
+    + ", ".join(_r(f"{name}_{stat}") for name in DURATIONS for stat in ("mean", "median", "p90", "std"))
+    + f", case_volume, {_r('late_start_rate')} FROM groups",
+    "timestamps_from_text": """
+        SELECT event_id, checkin_time, preop_start_time, op_start_time, postop_start_time, discharge_time FROM cases""",
+    "dq_written": f"""
+        SELECT CASE WHEN broken = 0 THEN 'valid' ELSE 'quarantined' END AS verdict, count(*) AS cases,
+            CAST(sum(broken) AS BIGINT) AS broken_rules
+        FROM (SELECT {" + ".join(f"coalesce({rule}, false)::INTEGER" for rule in RULES)} AS broken FROM rules) GROUP BY 1""",
+    "dq_orphan_procedures": """
+        SELECT procedure_type, count(*) AS cases FROM flawed
+        WHERE procedure_type NOT IN (SELECT procedure_type FROM catalog WHERE service_line <> 'ECONOMY')
+        GROUP BY procedure_type""",
+    "weights_adding_up": f"""
+        SELECT service_line, {_r("count(*) FILTER (anesthesia_type <> 'N') / CAST(count(*) AS DOUBLE)", "total")}
+        FROM cases LEFT JOIN catalog USING (procedure_type) WHERE service_line = 'ECONOMY' GROUP BY service_line""",
+    "sample_guard": """
+        SELECT 'completed' AS cases, count(*) >= 100 AS enough FROM done
+        UNION ALL SELECT 'converted', count(*) >= 100 FROM cases
+        WHERE case_status = 'converted_to_inpatient' AND isodow(checkin_time) = 6 AND asa_class = 1""",
+    "hourly_expected": f"""
+        WITH seen AS (SELECT CAST(hour(checkin_time) AS INTEGER) AS hour, count(*) AS n FROM cases GROUP BY 1),
+        planned AS (SELECT CAST(hour(scheduled_start_time) AS INTEGER) AS hour, count(*) AS n FROM cases GROUP BY 1)
+        SELECT hour, coalesce(s.n, 0) AS n, {_r("coalesce(s.n / (SELECT sum(n) FROM seen)::DOUBLE, 0)", "share", 6)},
+            {_r("coalesce(p.n / (SELECT sum(n) FROM planned)::DOUBLE, 0)", "expected_share", 6)}
+        FROM seen s FULL JOIN planned p USING (hour)""",
+    "anesthesia_expected": f"""
+        WITH mix AS (
+            SELECT service_line, anesthesia_type, count(*) AS cases, count(*) FILTER (case_status = 'completed') AS done
+            FROM cases LEFT JOIN catalog USING (procedure_type) GROUP BY service_line, anesthesia_type)
+        SELECT service_line, anesthesia_type, cases,
+            {_r("cases / CAST(sum(cases) OVER (PARTITION BY service_line) AS DOUBLE)", "share", 6)},
+            {_r("done / CAST(sum(done) OVER (PARTITION BY service_line) AS DOUBLE)", "expected_share", 6)} FROM mix""",
+    "asa_expected": f"""
+        WITH mix AS (
+            SELECT asa_class, count(*) AS n, count(*) FILTER (case_status = 'completed') AS done FROM cases GROUP BY asa_class)
+        SELECT asa_class, n, {_r("n / CAST(sum(n) OVER () AS DOUBLE)", "share", 6)},
+            {_r("done / CAST(sum(done) OVER () AS DOUBLE)", "expected_share", 6)} FROM mix""",
     "late_start_rate": f"SELECT facility_id, procedure_type, {_r('late_start_rate', places=6)} FROM groups",
     "aggregates_late_join": f"""
         SELECT a.facility_id, a.procedure_type, {_r("a.dur_total_mean", "dur_total_mean")}, a.case_volume,
@@ -525,7 +612,11 @@ _QUERIES = {
             {_near("dur_total_p90")} AS p90_minutes, {_near("dur_total_std")} AS std_minutes,
             coalesce({_whole("late_start_rate * 100")} || '%', '—') AS late_starts
         FROM groups ORDER BY case_volume DESC, facility_id, procedure_type LIMIT 20""",
-    "insights_all": "SELECT * FROM insights",
+    "insights_all": f"""
+        SELECT * EXCLUDE (family, {", ".join(ORDER_COLUMNS)}), row_number() OVER (ORDER BY
+            CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, family,
+            {", ".join(f"{name} NULLS LAST" for name in ORDER_COLUMNS)}) AS position
+        FROM insights_placed""",
     "stored_analysis": "SELECT * FROM insights",
     "insight_counts": """
         SELECT CAST(position AS INTEGER) AS position, kind, key, label, n FROM (

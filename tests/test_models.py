@@ -109,3 +109,33 @@ def test_search_ranks_every_setting(prepared):
     rows = models.model_search(*prepared, grid=grid).collect()
     assert {(r["setting"], r["trees"]) for r in rows} == {(1, 1), (2, 8)}
     assert rows[0]["mae_minutes"] <= rows[1]["mae_minutes"]
+
+
+def test_a_million_values_are_encoded_without_a_list(spark):
+    df = spark.range(1_000_000).select(F.concat(F.lit("v"), F.lpad((F.col("id") * 7919 % 1_000_000).cast("string"), 6, "0")).alias("facility_id"), "id")
+    encoded = models.label_encode(df, ["facility_id"])
+    right = F.col("facility_id_enc") == (F.col("id") * 7919 % 1_000_000)
+    assert encoded.filter(right).count() == 1_000_000
+    with pytest.raises(ValueError, match="facility_id_enc has 1000000 values"):
+        models._bins(encoded, ["facility_id_enc"])
+
+
+def test_codes_of_no_rows_and_of_no_columns(spark):
+    none = timed(spark, many(3)).limit(0)
+    assert models.label_encode(none).count() == 0
+    assert models.label_encode(none.select("event_id")).columns == ["event_id"]
+
+
+def test_the_search_ranks_settings_by_their_errors(spark, prepared):
+    grid = [{"n_estimators": 1, "max_depth": 1, "learning_rate": 0.1}, {"n_estimators": 8, "max_depth": 4, "learning_rate": 0.3}]
+    one, two = (models.model_search(*prepared, grid, at_once).collect() for at_once in (1, 2))
+    assert one == two and sorted(row["setting"] for row in one) == [1, 2]
+    assert [row["mae_minutes"] for row in one] == sorted(row["mae_minutes"] for row in one)
+
+
+def test_importances_of_the_trained_model_are_ranked(spark, prepared):
+    fitted = models.train_discharge_predictor(*prepared, trees=5, depth=3)
+    weights = fitted.first()["feature_importance"]
+    ranked = report.importance_ranking(fitted.select("feature_importance")).collect()
+    assert [row["importance_pct"] for row in ranked] == sorted((round(100 * w, 1) for w in weights.values()), reverse=True)
+    assert len(ranked) == len(models.FEATURES) and abs(sum(weights.values()) - 1) < 1e-6

@@ -11,7 +11,9 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(oracle.oracle_sql()) == set(catalogue.QUERIES)
+    # what differs between libraries of trees is checked in test_models
+    assert set(catalogue.QUERIES) - set(oracle.oracle_sql()) == {"model_search_errors", "model_importances", "model_cards"}
+    assert set(oracle.oracle_sql()) <= set(catalogue.QUERIES)
     assert set(project.oracle_sql()) <= set(project.queries())
 
 

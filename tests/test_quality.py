@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from cases import case, frame, timed
+from cases import case, frame, plan, timed
 from pyspark.sql import functions as F
 
 from flowgauge.operators import quality
@@ -64,3 +64,21 @@ def test_duplicates_orphans_and_weekdays(spark):
     dimension = spark.createDataFrame([("A",)], "facility_id string")
     assert [tuple(r) for r in quality.orphan_keys(df, dimension, "facility_id").collect()] == [("Z", 1)]
     assert quality.on_weekdays(df).count() == 3
+
+
+def test_one_job_writes_both_halves(spark, tmp_path):
+    df = timed(spark, [case("good"), case("bad", asa=7), case("worse", asa=7, status="lost")])
+    path = str(tmp_path / "checked")
+    quality.write_by_quality(df, path)
+    good = quality.read_by_quality(spark, path, quality.VALID, df.schema)
+    bad = quality.read_by_quality(spark, path, quality.QUARANTINED, df.schema)
+    assert good.columns == df.columns and [row["event_id"] for row in good.collect()] == ["good"]
+    assert {row["event_id"]: len(row["violations"]) for row in bad.collect()} == {"bad": 1, "worse": 2}
+    valid, held_back = quality.split_by_quality(df)
+    assert "checked" not in plan(valid) and valid.count() == 1 and held_back.count() == 2
+
+
+def test_weights_that_do_not_add_up(spark):
+    rows = [("a", 0.5), ("a", 0.5), ("b", 0.5), ("b", 0.4), ("c", None)]
+    off = quality.weights_off(spark.createDataFrame(rows, "line string, weight double"), ["line"]).collect()
+    assert {row["line"] for row in off} == {"b", "c"}
