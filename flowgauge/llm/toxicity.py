@@ -4,6 +4,9 @@ Features are binary: whether a word, two adjacent words, or two words with one b
 gives each coordinate its own rate, and its L1 term leaves most weights at exactly zero, so a fitted model is a
 short list of weights that travels with the scoring tasks. Shards of the labelled rows are trained side by side;
 their accumulators are averaged per coordinate after each round, and the next round goes on from there.
+
+Features are hashes of 64 bits, so that two of them practically never share a coordinate. They travel packed: a task sends its
+distinct features as a few sorted arrays, by ranges of the hash, and a shard its accumulators as one array of 32-bit numbers.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import types as T
 from flowgauge.llm.common import mixed, scratch, slices, word_hashes
 
 WORD = re.compile(r"[^\W_]+")
-BITS = 22
+RANGES = 16  # of the hash, in which features are counted
 SAMPLE_ROWS = 16_000  # labelled rows to fit on, in expectation; fewer labels are all used
 SHARDS, ROUNDS, EPOCHS = 2, 3, 5
 LEAST_ROWS = 2  # training rows of any shard that hold a feature before it gets a coordinate
@@ -36,21 +39,27 @@ def features(text: str) -> np.ndarray:
     """Distinct hashed features of a whole text, ascending."""
     words = word_hashes().of(WORD.findall(text.lower()))
     parts = [words, words[:-1] * PAIR + words[1:], words[:-2] * SKIP + words[2:]]
-    return np.unique((mixed(np.concatenate(parts)) >> np.uint64(64 - BITS)).astype(np.int32))
+    return np.unique(mixed(np.concatenate(parts)))
+
+
+def places_in(known: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Where those of ``own`` that are known stand; both ascend."""
+    if not len(known):
+        return np.empty(0, np.int64)
+    places = np.searchsorted(known, own)
+    return places[known[np.minimum(places, len(known) - 1)] == own]
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights other than zero, by feature, and the bias."""
+    """Weights other than zero, by feature in ascending order, and the bias."""
 
     features: np.ndarray
     weights: np.ndarray
     bias: float
 
-    def dense(self) -> np.ndarray:
-        table = np.zeros(1 << BITS, np.float32)
-        table[self.features] = self.weights
-        return table
+    def score(self, text: str) -> float:
+        return self.bias + float(self.weights[places_in(self.features, features(text))].sum())
 
 
 def weights_of(z: np.ndarray, n: np.ndarray, regular: bool = True) -> np.ndarray:
@@ -102,61 +111,88 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [features(text) for text in batch.column(1).to_pylist()]
-            kinds = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, kinds)], ["doc_id", "toxic", "features"])
+            rows = [features(text).tobytes() for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.binary())], ["doc_id", "toxic", "features"])
 
     spark = documents.sparkSession
     with scratch(spark, "toxicity") as place:
         rows = training_rows(documents, labels, sample_rows)
-        hashed = rows.select("doc_id", "text", "toxic").mapInArrow(featurise, "doc_id long, toxic int, features array<int>")
-        settled = place.keep(hashed, "rows").withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)))
-        counts = settled.select(F.explode("features").alias("feature")).groupBy("feature").count()
-        # at most one entry per hashed feature
-        own = np.sort(counts.filter(F.col("count") >= LEAST_ROWS).select("feature").toArrow()["feature"].to_numpy())
-        coordinates = spark.sparkContext.broadcast(own)
-        found, z, n = np.empty(0, np.int64), np.empty(0), np.empty(0)
+        hashed = rows.select("doc_id", "text", "toxic").mapInArrow(featurise, "doc_id long, toxic int, features binary")
+        settled = place.keep(hashed, "rows")
+        # bounded by the sample: of its features, those that LEAST_ROWS rows hold
+        coordinates = shared_features(settled)
+        coded = place.keep(_coded(settled, spark.sparkContext.broadcast(coordinates)), "coded")
+        z, n = np.zeros(len(coordinates) + 1), np.zeros(len(coordinates) + 1)
         for _ in range(ROUNDS):
-            found, z, n = _round(settled, coordinates, found, z, n)
-    bias = found == 1 << BITS
-    weights = weights_of(z, n)
-    kept = (weights != 0) & ~bias
-    start = weights_of(z[bias], n[bias], regular=False)
-    return Model(found[kept], weights[kept].astype(np.float32), float(start[0]) if len(start) else 0.0)
+            step_z, step_n = _round(coded, spark.sparkContext.broadcast((z, n)))
+            z, n = z + step_z, n + step_n
+    weights = weights_of(z[:-1], n[:-1])
+    kept = weights != 0
+    start = weights_of(z[-1:], n[-1:], regular=False)
+    return Model(coordinates[kept], weights[kept].astype(np.float32), float(start[0]))
 
 
-def _round(
-    rows: DataFrame, coordinates: Broadcast, found: np.ndarray, z: np.ndarray, n: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each shard trains from the state given; returns the mean state, at most one entry per hashed feature."""
+def shared_features(rows: DataFrame) -> np.ndarray:
+    """The features that ``LEAST_ROWS`` rows hold, ascending.
+
+    A task counts its own rows' features first and sends each range of them as one sorted array.
+    """
+    width = np.uint64((1 << 64) // RANGES)
+    packed = "part int, features binary, holders binary"
+
+    def added(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        values, place = np.unique(np.concatenate([own for own, _ in pairs]), return_inverse=True)
+        return values, np.bincount(place, np.concatenate([count for _, count in pairs]), len(values)).astype(np.uint32)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in slices(batches):
+            own = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+            held.append((own, np.ones(len(own), np.uint32)))
+            held = [added(held)]
+        for values, holders in held:
+            borders = np.searchsorted(values // width, np.arange(RANGES + 1, dtype=np.uint64)).tolist()
+            arrays = [
+                pa.array(range(RANGES), pa.int32()),
+                *(pa.array([own[a:b].tobytes() for a, b in zip(borders, borders[1:])], pa.binary()) for own in (values, holders)),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["part", "features", "holders"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        pairs = [(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)) for a, b in zip(pdf["features"], pdf["holders"])]
+        values, holders = added(pairs)
+        return pd.DataFrame({"part": pdf["part"][:1], "features": [values[holders >= LEAST_ROWS].tobytes()]})
+
+    counted = rows.select("features").mapInArrow(count, packed).groupBy("part").applyInPandas(add, "part int, features binary")
+    return np.frombuffer(b"".join(row["features"] for row in sorted(counted.collect(), key=lambda row: row["part"])), np.uint64)
+
+
+def _coded(rows: DataFrame, coordinates: Broadcast) -> DataFrame:
+    """The rows with the places of their features among the coordinates, in the place of the features."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            own = [places_in(coordinates.value, np.frombuffer(row, np.uint64)) for row in batch.column(2).to_pylist()]
+            arrays = [*batch.columns[:2], pa.array([row.astype(np.int32).tobytes() for row in own], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "toxic", "places"])
+
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).alias("shard")
+    return rows.select("doc_id", "toxic", "features").mapInArrow(code, "doc_id long, toxic int, places binary").select("*", shard)
+
+
+def _round(rows: DataFrame, state: Broadcast) -> tuple[np.ndarray, np.ndarray]:
+    """Each shard trains from the state given; returns the mean of their steps, a number for each coordinate and the bias."""
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", key=lambda ids: pd.Series(mixed(ids.to_numpy().astype(np.uint64))).values, kind="stable")
-        own = coordinates.value
-        local = np.append(own, 1 << BITS)
-        own_z, own_n = np.zeros(len(local)), np.zeros(len(local))
-        _, at, at_state = np.intersect1d(local, found, assume_unique=True, return_indices=True)
-        own_z[at], own_n[at] = z[at_state], n[at_state]
-        before_z, before_n = own_z.copy(), own_n.copy()
-        coded = []
-        for row in pdf["features"]:
-            places = np.searchsorted(own, row)
-            coded.append(places[own[np.minimum(places, len(own) - 1)] == row] if len(own) else places[:0])
-        ftrl(coded, pdf["toxic"].to_numpy(), own_z, own_n, EPOCHS)
-        moved = np.flatnonzero((own_n != before_n) | (own_z != before_z))
-        return pd.DataFrame({"feature": local[moved], "z": (own_z - before_z)[moved], "n": (own_n - before_n)[moved]})
-
-    steps = rows.select("shard", "doc_id", "toxic", "features").groupBy("shard").applyInPandas(train, "feature long, z double, n double")
-    mean = steps.groupBy("feature").agg((F.sum("z") / SHARDS).alias("z"), (F.sum("n") / SHARDS).alias("n")).toArrow()
-    touched = mean["feature"].to_numpy()
-    features_ = np.union1d(found, touched)
-    new_z, new_n = np.zeros(len(features_)), np.zeros(len(features_))
-    at = np.searchsorted(features_, found)
-    new_z[at], new_n[at] = z, n
-    at = np.searchsorted(features_, touched)
-    new_z[at] += mean["z"].to_numpy()
-    new_n[at] += mean["n"].to_numpy()
-    return features_, new_z, new_n
+        z, n = (own.copy() for own in state.value)
+        ftrl([np.frombuffer(row, np.int32) for row in pdf["places"]], pdf["toxic"].to_numpy(), z, n, EPOCHS)
+        steps = [(own - before).astype(np.float32).tobytes() for own, before in zip((z, n), state.value)]
+        return pd.DataFrame({"z": steps[:1], "n": steps[1:]})
+
+    steps = rows.groupBy("shard").applyInPandas(train, "z binary, n binary").collect()  # one row a shard
+    nothing = [np.zeros(len(state.value[0]))]
+    return tuple(sum([np.frombuffer(row[name], np.float32).astype(float) for row in steps] or nothing) / SHARDS for name in ("z", "n"))
 
 
 def scorer(documents: DataFrame, model: Model):
@@ -165,9 +201,9 @@ def scorer(documents: DataFrame, model: Model):
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table, bias = sent.value.dense(), sent.value.bias
+        model = sent.value
         for batch in texts:
-            sums = np.array([bias + float(table[features(text or "")].sum()) for text in batch], np.float64)
+            sums = np.array([model.score(text or "") for text in batch], np.float64)
             yield pd.Series(1 / (1 + np.exp(-np.clip(sums, -35, 35))))
 
     return score
