@@ -1,11 +1,13 @@
 """Best-fit packing of token sequences, in rounds over a tree of partitions.
 
-Each task packs its own pieces best-fit decreasing. Bins that are nearly full are final; the others are the
-items of the next round, in which a task takes in the bins of several. Only underfull bins travel.
+The pieces are dealt evenly, whatever order they are stored in, so that each task sees the whole mix of lengths. It packs its own
+best-fit decreasing. Bins that are nearly full are final; the others are opened again, and their pieces are the items of the next
+round, in which a task takes in those of several. Texts never travel.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from array import array
@@ -26,20 +28,12 @@ END_ID = 1
 WORD = re.compile(rf"[^{WHITE_SPACE}]+")
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
 
-FAN_IN = 8  # partitions that meet in one task of the next round
 SLACK = 16  # a bin with no more room than this is nearly full
-FLUSH = 200_000  # pieces that a task packs at once
+TASK_PIECES = 200_000  # that a task packs; more are dealt to more tasks
 TEXTS = 2000  # whole texts in an Arrow batch
-CARRY = 50_000  # bins that a task passes on; the fullest beyond that are final as they are
 
-MEMBER = pa.struct(
-    [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64())]
-)
-BIN = pa.schema([("bin", pa.int64()), ("used", pa.int64()), ("final", pa.bool_()), ("members", pa.list_(MEMBER))])
-BIN_DDL = (
-    "bin long, used long, final boolean, "
-    "members array<struct<doc_id: long, piece: int, start: long, length: long, crc: long>>"
-)
+PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PLACED_DDL = f"{PIECE_DDL}, sequence_id long, offset long, final boolean"
 
 
 class WordTokens:
@@ -89,15 +83,15 @@ def word_tokens(text: str, remember: int) -> WordTokens:
 
 class Item(NamedTuple):
     used: int
-    members: list[dict]
+    members: list
 
 
 def pieces_of(doc_id: int | None, ids: bytes, capacity: int) -> Iterator[Item]:
+    """A document's pieces: doc_id, piece, start, length and the ids' checksum of each as the member."""
     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
         own = ids[at : at + 4 * capacity]
         length = len(own) // 4
-        member = {"doc_id": doc_id, "piece": piece, "start": at // 4, "length": length, "crc": zlib.crc32(own)}
-        yield Item(length, [member])
+        yield Item(length, [(doc_id, piece, at // 4, length, zlib.crc32(own))])
 
 
 def best_fit(items: Iterable[Item], capacity: int) -> list[Item]:
@@ -123,40 +117,48 @@ def best_fit(items: Iterable[Item], capacity: int) -> list[Item]:
     return [Item(sum(i.used for i in own), [m for i in own for m in i.members]) for _, own in bins]
 
 
-class _Emitter:
-    """Bins of one task, numbered by round, task and place."""
-
-    def __init__(self, level: int, capacity: int, last: bool):
-        self.capacity, self.last, self.count = capacity, last, 0
-        self.base = (level << 58) + (TaskContext.get().partitionId() << 34)
-
-    def emit(self, items: list[Item]) -> Iterator[pa.RecordBatch]:
-        bins = sorted(best_fit(items, self.capacity), key=lambda item: item.used)
-        for start in range(0, len(bins), 4096):
-            rows = []
-            for at, item in enumerate(bins[start : start + 4096], start):
-                final = self.last or item.used >= self.capacity - SLACK or at >= CARRY
-                rows.append({"bin": self.base + self.count, "used": item.used, "final": final, "members": item.members})
-                self.count += 1
-            yield pa.RecordBatch.from_pylist(rows, BIN)
-
-
-def _flushed(items: Iterable[Item], emitter: _Emitter) -> Iterator[pa.RecordBatch]:
-    held: list[Item] = []
-    for item in items:
-        held.append(item)
-        if len(held) >= FLUSH:
-            yield from emitter.emit(held)
-            held = []
-    yield from emitter.emit(held)
-
-
-def pack_documents(documents: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, remember: int = REMEMBERED) -> DataFrame:
+def _table(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    named = [column.split() for column in ddl.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(named)
+    return pa.RecordBatch.from_arrays([pa.array(own, kinds[kind]) for own, (_, kind) in zip(columns, named)], [name for name, _ in named])
+
+
+def _packed(batches: Iterator[pa.RecordBatch], level: int, capacity: int, last: bool) -> Iterator[pa.RecordBatch]:
+    """All pieces of a task with their places; bins are numbered by round, task and place."""
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
+        return
+    whole = pa.Table.from_batches(held)
+    lengths = whole["length"].to_pylist()
+    bins = best_fit([Item(length, [at]) for at, length in enumerate(lengths)], capacity)
+    base = (level << 58) + (TaskContext.get().partitionId() << 34)
+    order, numbers, offsets, final = [], [], [], []
+    for number, own in enumerate(bins, base):
+        full, offset = last or own.used >= capacity - SLACK, 0
+        for at in own.members:
+            order.append(at)
+            numbers.append(number)
+            offsets.append(offset)
+            final.append(full)
+            offset += lengths[at]
+    placed = whole.take(pa.array(order, pa.int64()))
+    for name, values in (("sequence_id", pa.array(numbers, pa.int64())), ("offset", pa.array(offsets, pa.int64())), ("final", pa.array(final))):
+        placed = placed.append_column(name, values)
+    yield from placed.to_batches(max_chunksize=10_000)
+
+
+def pack_documents(
+    documents: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, remember: int = REMEMBERED, task_pieces: int = TASK_PIECES
+) -> DataFrame:
     """Pieces of all documents with the sequence and the offset they are packed at.
 
     A document is its ids and then ``END_ID``; only documents longer than the capacity are cut. A null text is
     an empty one and takes one place. Repeated rows and null ids are packed as documents of their own.
     A worker remembers the ids of ``remember`` words; fewer take more time and less memory, with the same result.
+
+    A task packs about ``task_pieces``. Rounds go on until one task takes all that is left, or until a round finds room for
+    less than an eighth of its pieces: another deal of what is left would have the same lengths in every task.
     Returns doc_id, piece, start, length, ids_crc32, sequence_id and offset.
     """
     spark = documents.sparkSession
@@ -165,49 +167,25 @@ def pack_documents(documents: DataFrame, vocabulary_path: str, capacity: int = C
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(text.value, remember)
-
-        def items() -> Iterator[Item]:
-            for batch in slices(batches, texts=1):
-                ids = words.encode_texts([value or "" for value in batch.column(1).to_pylist()])
-                for doc_id, own in zip(batch.column(0).to_pylist(), ids):
-                    yield from pieces_of(doc_id, own + end, capacity)
-
-        yield from _flushed(items(), _Emitter(0, capacity, last=False))
-
-    def repack(level: int, last: bool):
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = (Item(row["used"], row["members"]) for batch in slices(batches) for row in batch.to_pylist())
-            yield from _flushed(items, _Emitter(level, capacity, last))
-
-        return pack
+        for batch in slices(batches, texts=1):
+            ids = words.encode_texts([value or "" for value in batch.column(1).to_pylist()])
+            found = (pieces_of(doc_id, own + end, capacity) for doc_id, own in zip(batch.column(0).to_pylist(), ids))
+            yield _table([item.members[0] for own in found for item in own], PIECE_DDL)
 
     with scratch(spark, "packing") as place:
         narrow = documents.select(F.col("doc_id").cast("long"), "text")
         with batches_of(spark, TEXTS):
-            done = level_bins = place.keep(narrow.mapInArrow(tokenise, BIN_DDL), "round-0")
-        done = done.filter("final")
-        tasks, level = level_bins.rdd.getNumPartitions(), 0
-        while True:
-            level, tasks = level + 1, -(-tasks // FAN_IN)
-            underfull = level_bins.filter("not final").coalesce(tasks).select("used", "members")
-            level_bins = place.keep(underfull.mapInArrow(repack(level, tasks == 1), BIN_DDL), f"round-{level}")
-            done = done.unionByName(level_bins.filter("final"))
-            if tasks == 1:
-                break
-        return cut(_placed(done))
-
-
-def _placed(bins: DataFrame) -> DataFrame:
-    """A row per piece; its offset is the length of what stands before it in its sequence."""
-    lengths = F.transform("members", lambda member: member["length"])
-    placed = bins.select("bin", lengths.alias("lengths"), F.posexplode("members").alias("at", "member"))
-    before = F.aggregate(F.slice("lengths", F.lit(1), F.col("at")), F.lit(0).cast("long"), lambda sum_, x: sum_ + x)
-    return placed.select(
-        "member.doc_id",
-        "member.piece",
-        "member.start",
-        "member.length",
-        F.col("member.crc").alias("ids_crc32"),
-        F.col("bin").alias("sequence_id"),
-        before.alias("offset"),
-    )
+            left = place.keep(narrow.mapInArrow(tokenise, PIECE_DDL), "pieces")
+        done, count, level = left.limit(0).selectExpr("*", "0L AS sequence_id", "0L AS offset"), left.count(), 0
+        while count:
+            tasks = -(-count // task_pieces)
+            dealt = left.repartition(tasks)
+            pack = functools.partial(_packed, level=level, capacity=capacity, last=tasks == 1)
+            packed = place.keep(dealt.mapInArrow(pack, PLACED_DDL), f"round-{level}")
+            rest = packed.filter("not final")
+            before, count, level = count, rest.count(), level + 1
+            if 8 * count > 7 * before:
+                done, count = done.unionByName(rest.drop("final")), 0
+            done = done.unionByName(packed.filter("final").drop("final"))
+            left = rest.drop("final", "sequence_id", "offset")
+        return cut(done)

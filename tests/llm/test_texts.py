@@ -103,6 +103,28 @@ def test_packing_is_whole_and_tight(spark):
     assert packing.pack_documents(odd(spark), WORDS).filter("doc_id is null or doc_id = 3").count() == 3
 
 
+@pytest.mark.parametrize("order", ["by length", "by source", "mixed"])
+@pytest.mark.parametrize("lengths", [{31: 400, 21: 400}, {31: 400, 26: 60}, {40: 300, 35: 300, 5: 500, 11: 40}])
+def test_packing_is_tight_on_any_storage_order(spark, order, lengths):
+    """Several tasks and rounds, against best fit of all pieces at once."""
+    capacity, kinds = 60, ["a"] * sum(lengths.values())
+    sizes = [size for size, count in lengths.items() for _ in range(count)]
+    if order == "by source":
+        sizes = sorted(sizes, reverse=True)
+    if order == "mixed":
+        random.Random(1).shuffle(sizes)
+    texts = [" ".join(own for own in kinds[: size - 1]) for size in sizes]  # each word is a token, and the end
+    rows = packing.pack_documents(frame(spark, texts).coalesce(16), WORDS, capacity, task_pieces=100).collect()
+    assert sorted(row.length for row in rows) == sorted(sizes)
+    used = {}
+    for row in sorted(rows, key=lambda row: row.offset):
+        assert used.get(row.sequence_id, 0) == row.offset
+        used[row.sequence_id] = row.offset + row.length
+    at_once = len(packing.best_fit([packing.Item(size, [0]) for size in sizes], capacity))
+    # a task's share of the mix differs by chance, by more than at the usual size of tasks
+    assert max(used.values()) <= capacity and len(used) <= 1.06 * at_once + 2
+
+
 def test_best_fit_takes_the_fullest_bin():
     items = [packing.Item(used, [used]) for used in (6, 5, 4, 3, 2)]
     assert sorted(sorted(item.members) for item in packing.best_fit(items, 10)) == [[2, 3, 5], [4, 6]]
