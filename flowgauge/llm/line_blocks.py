@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +23,11 @@ from pyspark.sql import types as T
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr "
+    "math semantics annotation mrow mi mn mo ms mtext mspace mstyle msup msub msubsup mfrac msqrt mroot mover munder "
+    "munderover mfenced menclose mpadded mphantom mtable mtr mtd".split()
 )
-RAW = frozenset("script style textarea title noscript template iframe svg math object canvas".split())
+RAW = frozenset("script style textarea title noscript template iframe svg object canvas".split())
 FURNITURE = frozenset("nav footer aside form menu dialog button select option head".split()) | RAW
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MARKED = re.compile(
@@ -35,10 +38,15 @@ MARKED = re.compile(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
-)
-ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+READERS = re.compile(r"(?:^|[\s_-])(?:comments?|comment-?list|respond|disqus|replies)(?:$|[\s_-])", re.IGNORECASE)
+
+# A quote counts only where a value begins; elsewhere it is a letter like any other, and the tag ends at the next >.
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:{VALUE}|(?=>)))*+)>")
+ATTRIBUTE = re.compile(rf"([a-zA-Z_:][-\w:.]*+)\s*+(?:=\s*+({VALUE}))?")
+TAG_BEGINS = re.compile(r"</?[a-zA-Z]")
+# What is no text and no tag, and how it ends.
+ASIDE = (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">"))
 SPACE = re.compile(r"\s+")
 
 WINDOW = 3  # lines in a sliding window
@@ -57,7 +65,9 @@ def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
         return True
     if name in ("body", "html", "article", "main") or name in HEADINGS:
         return False
-    return bool(MARKED.search(values.get("class", "")) or MARKED.search(values.get("id", "")))
+    # in an article a section's id is an anchor for a heading's words
+    by_id = READERS if in_article and name == "section" else MARKED
+    return bool(MARKED.search(values.get("class", "")) or by_id.search(values.get("id", "")))
 
 
 def _is_article(name: str, attributes: str) -> bool:
@@ -82,41 +92,53 @@ def page_lines(page: str) -> tuple[list[str], list[int]]:
     def close(down_to: int) -> None:
         nonlocal hidden, articles
         while len(stack) > down_to:
-            _, was_hidden, was_article = stack.pop()
+            closing, was_hidden, was_article = stack.pop()
+            held[closing] -= 1
             hidden -= was_hidden
             articles -= was_article
             if was_hidden and not hidden:
                 for _ in range(WINDOW):
                     end_line(blank=True)
 
-    at, end = 0, len(page)
+    held: Counter[str] = Counter()  # names on the stack
+    at = text_from = 0
+    end = len(page)
     while at < end:
-        tag = TAG.search(page, at)
-        stop = tag.start() if tag else end
-        if not hidden and stop > at:
-            text.append(page[at:stop])
-        if tag is None:
+        start = page.find("<", at)
+        aside = next((own for own in ASIDE if start >= 0 and page.startswith(own[0], start)), None)
+        if start >= 0 and not aside and not TAG_BEGINS.match(page, start):
+            at = start + 1  # a sign like any other
+            continue
+        if not hidden:
+            text.append(page[text_from : start if start >= 0 else end])
+        text_from = end
+        if start < 0:
             break
-        at = tag.end()
-        name = (tag[2] or "").lower()
-        if not name:
+        if aside:
+            closed = page.find(aside[1], start + len(aside[0]))
+            if closed < 0:
+                break
+            at = text_from = closed + len(aside[1])
             continue
+        tag = TAG.match(page, start)
+        if tag is None:  # never closed: it takes the rest of the page with it
+            break
+        at = text_from = tag.end()
+        name = tag[2].lower()
         if tag[1]:
             if name not in INLINE:
                 if not hidden:
                     end_line()
-                place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-                if place is not None:
-                    close(place)
+                if held[name]:
+                    close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
             continue
         if name in INLINE:
             continue
         if not hidden:
             end_line()
         if name == "p" or name in HEADINGS:  # these end an open paragraph
-            place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] not in ("div", "section")), None)
-            if place is not None and stack[place][0] == "p" and place == len(stack) - 1:
-                close(place)
+            if stack and stack[-1][0] == "p":
+                close(len(stack) - 1)
         if name in VOID or tag[3].endswith("/"):
             continue
         furniture = _is_furniture(name, tag[3], articles > 0)
@@ -125,13 +147,15 @@ def page_lines(page: str) -> tuple[list[str], list[int]]:
                 end_line(blank=True)
         article = not hidden and not furniture and _is_article(name, tag[3])
         stack.append((name, furniture, article))
+        held[name] += 1
         hidden += furniture
         number += article and not articles
         articles += article
         if name in RAW:  # nothing but its own end tag counts in it
-            closing = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
-            at = closing.start() if closing else end
+            own_end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
+            at = text_from = own_end.start() if own_end else end
     if not hidden:
+        text.append(page[text_from:])
         end_line()
     return lines, marks
 
