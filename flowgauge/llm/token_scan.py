@@ -22,16 +22,19 @@ from flowgauge.llm.trie_bpe import encoder, read_vocabulary
 
 BLOCK_BYTES = 1 << 20
 RUN = 1024  # blocks per run of the two-level scan
+LABEL_BYTES = 16
 DTYPES = {2: "<u2", 4: "<u4"}
 
 
 def token_blocks(documents: DataFrame, vocabulary_path: str, end_id: int, width: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Documents as flat token streams, one per task, in blocks: kind, stream, block, data.
 
-    The ids of a document are followed by ``end_id``; strings of special tokens are ordinary text here, so that no
+    ``block_bytes`` must hold whole ids and labels: a multiple of 16. The ids of a document are followed by ``end_id``; strings of special tokens are ordinary text here, so that no
     other id equals it. Beside the blocks (kind 0) the documents' ids travel in stream order
     (kind 1), to label the counts; the scan does not see them.
     """
+    if block_bytes % LABEL_BYTES or end_id >= 1 << 8 * width:
+        raise ValueError(f"blocks are multiples of {LABEL_BYTES} bytes, and the end must fit in {width} bytes")
     text = documents.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
     schema = "kind int, stream long, block long, data binary"
 
@@ -50,8 +53,12 @@ def token_blocks(documents: DataFrame, vocabulary_path: str, end_id: int, width:
         for batch in slices(batches, texts=1):
             ids = words.encode_texts([value or "" for value in batch.column(1).to_pylist()], special=False)
             for own in ids:
+                tokens = np.frombuffer(own, "<u4")
+                if len(tokens) and tokens.max() >= 1 << 8 * width:
+                    raise ValueError(f"id {tokens.max()} does not fit in {width} bytes")
                 buffers[0].extend(np.append(np.frombuffer(own, "<u4"), np.uint32(end_id)).astype(DTYPES[width]).tobytes())
-            known = [-1 if doc_id is None else doc_id for doc_id in batch.column(0).to_pylist()]
+            # two numbers a document: whether it has an id, and the id
+            known = [(doc_id is not None, doc_id or 0) for doc_id in batch.column(0).to_pylist()]
             buffers[1].extend(np.asarray(known, "<i8").tobytes())
             yield from full(0, block_bytes)
             yield from full(1, block_bytes)
@@ -158,17 +165,17 @@ def stitched(summaries: DataFrame) -> DataFrame:
     return counts.select("stream", (F.col("first") + F.col("at")).alias("ordinal"), "n_tokens")
 
 
-def labels_of(blocks: DataFrame) -> DataFrame:
-    """stream, ordinal and doc_id from the label blocks that travel beside the token blocks."""
+def labels_of(blocks: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """stream, ordinal and doc_id from the label blocks that travel beside the token blocks, written in ``block_bytes`` too."""
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            ids = np.frombuffer(batch.column(2)[0].as_buffer(), "<i8")
-            first = batch.column(1)[0].as_py() * (BLOCK_BYTES // 8)
+            known, ids = np.frombuffer(batch.column(2)[0].as_buffer(), "<i8").reshape(-1, 2).T
+            first = batch.column(1)[0].as_py() * (block_bytes // LABEL_BYTES)
             columns = [
                 pa.array(np.full(len(ids), batch.column(0)[0].as_py())),
                 pa.array(first + np.arange(len(ids), dtype=np.int64)),
-                pa.array(ids, mask=ids < 0),
+                pa.array(ids, mask=known == 0),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["stream", "ordinal", "doc_id"])
 

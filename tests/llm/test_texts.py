@@ -166,6 +166,21 @@ def test_token_streams_of_documents(spark):
         assert row.n_tokens == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_token_streams_keep_every_id_at_any_block_size(spark):
+    """Negative ids are ids; ordinals do not depend on the size of a block."""
+    rows = [(-1, "a b"), (None, "c"), (-(2**62), ""), (0, "d e f"), (2**62, "g")] + [(at, f"h {at}") for at in range(1, 30)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    library = Tokenizer.from_file(BYTES)
+    wanted = [(at, doc_id, len(library.encode(text).ids)) for at, (doc_id, text) in enumerate(rows)]
+    for block_bytes in (16, 64, 1 << 20):
+        blocks = token_scan.token_blocks(documents, BYTES, 50256, block_bytes=block_bytes)
+        counts = token_scan.stitched(token_scan.block_summaries(blocks.filter("kind = 0"), 50256))
+        found = token_scan.labels_of(blocks, block_bytes).join(counts, ["stream", "ordinal"], "full").orderBy("ordinal").collect()
+        assert [(row.ordinal, row.doc_id, row.n_tokens) for row in found] == wanted
+    with pytest.raises(ValueError, match="multiples"):
+        token_scan.token_blocks(documents, BYTES, 50256, block_bytes=24)
+
+
 def slow_fingerprint(text):
     words = [part for part in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split() if part]
     runs = [b" ".join(words[at : at + 3]) for at in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
