@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from flowgauge.session import new_folder, shared_folder
+from flowgauge.session import new_folder
 
 # Unicode White_Space as a character class, which is what the tokenizers' patterns mean by \s; Python's own
 # \s also takes the separators 1C to 1F.
@@ -31,7 +31,7 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and read from the shared checkpoint folder from then on."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
+        context.setCheckpointDir(new_folder(df.sparkSession, "checkpoints"))  # ends with the application
     return df.checkpoint(eager=True)
 
 
