@@ -1,3 +1,4 @@
+import gzip
 import json
 import os
 from datetime import datetime
@@ -145,11 +146,26 @@ def test_doubled_quotes_and_commas(spark, tmp_path):
     assert (row["event_id"], row["facility_id"], row["case_status"]) == ("1", 'The "A", site', "completed")
 
 
-def test_files_with_other_headers_fail(spark, tmp_path):
+def test_files_of_a_folder_go_by_their_own_headers(spark, tmp_path):
+    """Once an honest failure; now each file is read by the names it has."""
     (tmp_path / "a.csv").write_text("event_id,facility_id\n1,FA\n")
-    (tmp_path / "b.csv").write_text("facility_id,event_id\nFB,2\n")
-    with pytest.raises(Exception, match="header"):
-        readers.read_raw_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "deeper").mkdir()
+    (tmp_path / "deeper" / "b.csv").write_text('\ufefffacility_id,event_id,"odd, name"\n"F ""B""",2,"x\ny"\n')
+    (tmp_path / "c.csv").write_text("unknown\n5\n")
+    with gzip.open(tmp_path / "d.csv.gz", "wt") as file:
+        file.write("asa_class,event_id\n4,4\n")
+    rows = readers.read_raw_csv(spark, str(tmp_path)).collect()
+    found = sorted((row["event_id"] or "", row["facility_id"] or "", row["asa_class"] or 0) for row in rows)
+    assert found == [("", "", 0), ("1", "FA", 0), ("2", 'F "B"', 0), ("4", "", 4)]
+    (tmp_path / "e.csv").write_text("event_id,event_id\n1,2\n")
+    with pytest.raises(ValueError, match="named twice"):
+        readers.read_raw_csv(spark, str(tmp_path))
+
+
+def test_a_folder_without_rows_is_empty(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    assert readers.read_raw_csv(spark, str(tmp_path)).count() == 0
+    assert tuple(readers.read_raw_csv(spark, str(tmp_path)).columns) == TRANSFER_COLUMNS
 
 
 def test_a_database_is_not_read_in_one_task_unawares(spark):
