@@ -64,7 +64,8 @@ def read_raw_csv(spark: SparkSession, *paths: str, schema: T.StructType = TRANSF
     """Any subset of the columns of ``schema``, in any order and in each file its own; absent columns become null.
 
     The first lines are looked at by a few threads of the driver; files with the same header are read together by name,
-    and the reads are united. Names that the schema lacks are left out. Quotes in text are doubled.
+    and the reads are united. Names that the schema lacks are left out. Quotes in text are doubled; a line is a row, so that
+    large files are read in parts.
     """
     files = csv_files(spark, *paths)
     layouts: dict[tuple[str, ...], list[str]] = {}

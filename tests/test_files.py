@@ -150,7 +150,7 @@ def test_files_of_a_folder_go_by_their_own_headers(spark, tmp_path):
     """Once an honest failure; now each file is read by the names it has."""
     (tmp_path / "a.csv").write_text("event_id,facility_id\n1,FA\n")
     (tmp_path / "deeper").mkdir()
-    (tmp_path / "deeper" / "b.csv").write_text('\ufefffacility_id,event_id,"odd, name"\n"F ""B""",2,"x\ny"\n')
+    (tmp_path / "deeper" / "b.csv").write_text('\ufefffacility_id,event_id,"odd, name"\n"F ""B""",2,"x, y"\n')
     (tmp_path / "c.csv").write_text("unknown\n5\n")
     with gzip.open(tmp_path / "d.csv.gz", "wt") as file:
         file.write("asa_class,event_id\n4,4\n")
