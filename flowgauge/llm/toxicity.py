@@ -5,8 +5,9 @@ gives each coordinate its own rate, and its L1 term leaves most weights at exact
 short list of weights that travels with the scoring tasks. Shards of the labelled rows are trained side by side;
 their accumulators are averaged per coordinate after each round, and the next round goes on from there.
 
-Features are hashes of 64 bits, so that two of them practically never share a coordinate. They travel packed: a task sends its
-distinct features as a few sorted arrays, by ranges of the hash, and a shard its accumulators as one array of 32-bit numbers.
+Features are hashes of 40 bits, so that two of a sample's ten million hardly ever share a coordinate. They travel packed: a task
+sends its distinct features as sorted arrays, by ranges of the hash, of which each holds the low 32 bits and whether a second row of
+the task has it; a shard sends its accumulators as one array of 32-bit numbers, and its rows stay where they were written.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ from pyspark.sql import types as T
 from flowgauge.llm.common import mixed, scratch, slices, word_hashes
 
 WORD = re.compile(r"[^\W_]+")
-RANGES = 16  # of the hash, in which features are counted
+BITS, LOW_BITS = 40, 32  # of a feature, and those that its range leaves open
 SAMPLE_ROWS = 16_000  # labelled rows to fit on, in expectation; fewer labels are all used
 SHARDS, ROUNDS, EPOCHS = 2, 3, 5
 LEAST_ROWS = 2  # training rows of any shard that hold a feature before it gets a coordinate
@@ -39,7 +41,7 @@ def features(text: str) -> np.ndarray:
     """Distinct hashed features of a whole text, ascending."""
     words = word_hashes().of(WORD.findall(text.lower()))
     parts = [words, words[:-1] * PAIR + words[1:], words[:-2] * SKIP + words[2:]]
-    return np.unique(mixed(np.concatenate(parts)))
+    return np.unique(mixed(np.concatenate(parts)) >> np.uint64(64 - BITS))
 
 
 def places_in(known: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -108,23 +110,17 @@ def training_rows(documents: DataFrame, labels: DataFrame, sample_rows: int) ->
 
 def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from the labels outside the held-out fold. Without any such labels the model knows only a bias of zero."""
-
-    def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows = [features(text).tobytes() for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.binary())], ["doc_id", "toxic", "features"])
-
     spark = documents.sparkSession
     with scratch(spark, "toxicity") as place:
-        rows = training_rows(documents, labels, sample_rows)
-        hashed = rows.select("doc_id", "text", "toxic").mapInArrow(featurise, "doc_id long, toxic int, features binary")
-        settled = place.keep(hashed, "rows")
+        rows = place.keep(training_rows(documents, labels, sample_rows).select("doc_id", "toxic", "text"), "rows")
         # bounded by the sample: of its features, those that LEAST_ROWS rows hold
-        coordinates = shared_features(settled)
-        coded = place.keep(_coded(settled, spark.sparkContext.broadcast(coordinates)), "coded")
+        coordinates = shared_features(rows)
+        sent = spark.sparkContext.broadcast(coordinates)
+        shard = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS))
+        shards = [place.keep(_coded(rows.filter(shard == at), sent), f"shard-{at}") for at in range(SHARDS)]
         z, n = np.zeros(len(coordinates) + 1), np.zeros(len(coordinates) + 1)
         for _ in range(ROUNDS):
-            step_z, step_n = _round(coded, spark.sparkContext.broadcast((z, n)))
+            step_z, step_n = _round(shards, spark.sparkContext.broadcast((z, n)))
             z, n = z + step_z, n + step_n
     weights = weights_of(z[:-1], n[:-1])
     kept = weights != 0
@@ -133,64 +129,67 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
 
 
 def shared_features(rows: DataFrame) -> np.ndarray:
-    """The features that ``LEAST_ROWS`` rows hold, ascending.
+    """The features that ``LEAST_ROWS`` rows hold, ascending, from the rows' texts.
 
-    A task counts its own rows' features first and sends each range of them as one sorted array.
+    A task looks through its own rows first and sends each range of their features as one sorted array.
     """
-    width = np.uint64((1 << 64) // RANGES)
-    packed = "part int, features binary, holders binary"
-
-    def added(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        values, place = np.unique(np.concatenate([own for own, _ in pairs]), return_inverse=True)
-        return values, np.bincount(place, np.concatenate([count for _, count in pairs]), len(values)).astype(np.uint32)
+    ranges = np.arange(1 << (BITS - LOW_BITS), dtype=np.uint64)
+
+    def found_in(features_of_rows: np.ndarray) -> pa.RecordBatch:
+        values, holders = np.unique(features_of_rows, return_counts=True)
+        borders = np.append(np.searchsorted(values, ranges << np.uint64(LOW_BITS)), len(values)).tolist()
+        low, several = values.astype(np.uint32), np.minimum(holders, LEAST_ROWS).astype(np.uint8)
+        arrays = [
+            pa.array(ranges.astype(np.int32)),
+            *(pa.array([own[a:b].tobytes() for a, b in zip(borders, borders[1:])], pa.binary()) for own in (low, several)),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, ["part", "low", "holders"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in slices(batches):
-            own = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
-            held.append((own, np.ones(len(own), np.uint32)))
-            held = [added(held)]
-        for values, holders in held:
-            borders = np.searchsorted(values // width, np.arange(RANGES + 1, dtype=np.uint64)).tolist()
-            arrays = [
-                pa.array(range(RANGES), pa.int32()),
-                *(pa.array([own[a:b].tobytes() for a, b in zip(borders, borders[1:])], pa.binary()) for own in (values, holders)),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, ["part", "features", "holders"])
+        held = [features(text) for batch in slices(batches) for text in batch.column(0).to_pylist()]
+        if held:
+            yield found_in(np.concatenate(held))
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        pairs = [(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)) for a, b in zip(pdf["features"], pdf["holders"])]
-        values, holders = added(pairs)
-        return pd.DataFrame({"part": pdf["part"][:1], "features": [values[holders >= LEAST_ROWS].tobytes()]})
+        low = np.concatenate([np.frombuffer(own, np.uint32) for own in pdf["low"]])
+        holders = np.concatenate([np.frombuffer(own, np.uint8) for own in pdf["holders"]])
+        values, place = np.unique(low, return_inverse=True)
+        shared = values[np.bincount(place, holders, len(values)) >= LEAST_ROWS]
+        return pd.DataFrame({"part": pdf["part"][:1], "low": [shared.tobytes()]})
 
-    counted = rows.select("features").mapInArrow(count, packed).groupBy("part").applyInPandas(add, "part int, features binary")
-    return np.frombuffer(b"".join(row["features"] for row in sorted(counted.collect(), key=lambda row: row["part"])), np.uint64)
+    counted = rows.select("text").mapInArrow(count, "part int, low binary, holders binary").groupBy("part").applyInPandas(add, "part int, low binary")
+    parts = sorted((row["part"], row["low"]) for row in counted.collect())
+    own = [np.frombuffer(low, np.uint32) | np.uint64(part << LOW_BITS) for part, low in parts]
+    return np.concatenate(own) if own else np.empty(0, np.uint64)
 
 
 def _coded(rows: DataFrame, coordinates: Broadcast) -> DataFrame:
-    """The rows with the places of their features among the coordinates, in the place of the features."""
+    """doc_id, toxic and the places of each text's features among the coordinates."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            own = [places_in(coordinates.value, np.frombuffer(row, np.uint64)) for row in batch.column(2).to_pylist()]
-            arrays = [*batch.columns[:2], pa.array([row.astype(np.int32).tobytes() for row in own], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "toxic", "places"])
+            own = [places_in(coordinates.value, features(text)).astype(np.int32).tobytes() for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(own, pa.binary())], ["doc_id", "toxic", "places"])
 
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).alias("shard")
-    return rows.select("doc_id", "toxic", "features").mapInArrow(code, "doc_id long, toxic int, places binary").select("*", shard)
+    return rows.select("doc_id", "toxic", "text").mapInArrow(code, "doc_id long, toxic int, places binary")
 
 
-def _round(rows: DataFrame, state: Broadcast) -> tuple[np.ndarray, np.ndarray]:
-    """Each shard trains from the state given; returns the mean of their steps, a number for each coordinate and the bias."""
+def _round(shards: list[DataFrame], state: Broadcast) -> tuple[np.ndarray, np.ndarray]:
+    """Each shard trains from the state given, in a task of its own; returns the mean of their steps, a number for each coordinate and the bias."""
 
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id", key=lambda ids: pd.Series(mixed(ids.to_numpy().astype(np.uint64))).values, kind="stable")
-        z, n = (own.copy() for own in state.value)
-        ftrl([np.frombuffer(row, np.int32) for row in pdf["places"]], pdf["toxic"].to_numpy(), z, n, EPOCHS)
-        steps = [(own - before).astype(np.float32).tobytes() for own, before in zip((z, n), state.value)]
-        return pd.DataFrame({"z": steps[:1], "n": steps[1:]})
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            whole = pa.Table.from_batches(held)
+            order = np.argsort(mixed(whole["doc_id"].to_numpy().astype(np.uint64)), kind="stable")
+            places = whole["places"].to_pylist()
+            z, n = (own.copy() for own in state.value)
+            ftrl([np.frombuffer(places[at], np.int32) for at in order], whole["toxic"].to_numpy()[order], z, n, EPOCHS)
+            steps = [[(own - before).astype(np.float32).tobytes()] for own, before in zip((z, n), state.value)]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()) for own in steps], ["z", "n"])
 
-    steps = rows.groupBy("shard").applyInPandas(train, "z binary, n binary").collect()  # one row a shard
+    trained = [rows.coalesce(1).mapInArrow(train, "z binary, n binary") for rows in shards]
+    steps = reduce(DataFrame.unionByName, trained).collect()  # one row a shard
     nothing = [np.zeros(len(state.value[0]))]
     return tuple(sum([np.frombuffer(row[name], np.float32).astype(float) for row in steps] or nothing) / SHARDS for name in ("z", "n"))
 

@@ -61,9 +61,9 @@ def test_training_equals_a_plain_ftrl():
 
 def test_features_of_two_rows_are_counted_over_all_tasks(spark):
     texts = ["one two", "two three", "three", None, "", "four four", "two"]
-    rows = [(at, toxicity.features(text or "").tobytes()) for at, text in enumerate(texts)]
+    rows = [(at, text or "") for at, text in enumerate(texts)]
     for parts in (1, 4):
-        frame_ = spark.createDataFrame(rows, "doc_id long, features binary").repartition(parts)
+        frame_ = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
         known = {int(toxicity.features(word)[0]) for word in ("two", "three")}
         assert set(toxicity.shared_features(frame_).tolist()) == known
     assert len(toxicity.shared_features(frame_.limit(0))) == 0
