@@ -118,9 +118,12 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         sent = spark.sparkContext.broadcast(coordinates)
         shard = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS))
         shards = [place.keep(_coded(rows.filter(shard == at), sent), f"shard-{at}") for at in range(SHARDS)]
+        sent.destroy()  # the shards are written, and the driver would keep it
         z, n = np.zeros(len(coordinates) + 1), np.zeros(len(coordinates) + 1)
         for _ in range(ROUNDS):
-            step_z, step_n = _round(shards, spark.sparkContext.broadcast((z, n)))
+            state = spark.sparkContext.broadcast((z, n))
+            step_z, step_n = _round(shards, state)
+            state.destroy()
             z, n = z + step_z, n + step_n
     weights = weights_of(z[:-1], n[:-1])
     kept = weights != 0
