@@ -67,10 +67,14 @@ def case_rules() -> dict[str, Column]:
 
 
 def with_violations(df: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
-    """Add ``violations``, the names of the rules each row breaks."""
+    """Add ``violations``, the names of the rules each row breaks.
+
+    The names are generated as one row per row: a filter on them then stays above them. Pushed below, it would hold the
+    expressions of all columns once for each use in a rule, which makes code that the JVM does not compile.
+    """
     rules = case_rules() if rules is None else rules
     hits = F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])
-    return df.withColumn("violations", F.array_compact(hits))
+    return df.withColumn("violations", F.explode(F.array(F.array_compact(hits))))
 
 
 def split_by_quality(

@@ -4,6 +4,7 @@ from cases import case, frame, plan, timed
 from pyspark.sql import functions as F
 
 from flowgauge.operators import quality
+from flowgauge.schema import DURATIONS
 
 
 def violations(df):
@@ -82,3 +83,13 @@ def test_weights_that_do_not_add_up(spark):
     rows = [("a", 0.5), ("a", 0.5), ("b", 0.5), ("b", 0.4), ("c", None)]
     off = quality.weights_off(spark.createDataFrame(rows, "line string, weight double"), ["line"]).collect()
     assert {row["line"] for row in off} == {"b", "c"}
+
+
+def test_a_filter_on_violations_does_not_repeat_the_columns(spark):
+    """Pushed below them, it held the subtraction of each duration once for each use in a rule."""
+    moments = timed(spark, [case("a"), case("b", asa=9)])
+    valid, quarantined = quality.split_by_quality(moments)
+    for half in (valid, quarantined):
+        plan_text = half.select("event_id")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan_text.count("timestampdiff") + plan_text.count("unix_micros") <= 4 * len(DURATIONS)
+    assert [row["event_id"] for row in quarantined.collect()] == ["b"]
