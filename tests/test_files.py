@@ -39,6 +39,14 @@ def test_json_round_trip(spark, tmp_path):
     assert back.exceptAll(df.select(*CASE_COLUMNS)).count() == 0
 
 
+def test_json_is_written_compressed_in_files_of_a_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "ROWS_PER_FILE", 1)
+    df = frame(spark, rows()).coalesce(1)
+    writers.write_cases_json(df, str(tmp_path / "cases"))
+    assert len(list((tmp_path / "cases").glob("*.json.gz"))) == df.count() > 1
+    assert readers.read_cases_json(spark, str(tmp_path / "cases")).count() == df.count()
+
+
 def test_mixed_iso_times_and_empty_text(spark, tmp_path):
     path = tmp_path / "cases.csv"
     line = "e,A,P,,2025-01-06T07:00:01+00:00,2025-01-06T07:10:01.250000+00:00,2025-01-06T07:20:01+00:00,"
