@@ -5,13 +5,12 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from flowgauge.operators.derive import transfer_form
-from flowgauge.operators.ingest import EPOCH, is_wall_clock, merge_watermarks, newest_position, position_of, rows_after
+from flowgauge.operators.ingest import EPOCH, is_wall_clock, merge_watermarks, position_column, position_of, rows_after
 from flowgauge.schema import DEFAULT_SOURCE_ID, WATERMARK_SCHEMA
-from flowgauge.session import settled
 from flowgauge.sources.keyed import read_table, replace_loads
 from flowgauge.sources.writers import insert_counted
 
@@ -43,9 +42,9 @@ def load_increment(
     spark = source.sparkSession
     state = read_table(spark, state_path, WATERMARK_SCHEMA)
     position = position_of(state, source_id)
-    with settled(rows_after(transfer_form(source), position, strict=strict), "pulled") as pulled:
-        newest = newest_position(pulled)
-        inserted, rejected = insert_counted(pulled, target_path)
+    pulled, seen = rows_after(transfer_form(source), position, strict=strict), Observation()
+    inserted, rejected = insert_counted(pulled.observe(seen, position_column(pulled).alias("newest")), target_path)
+    newest = seen.get["newest"]
     reached = max((place for place in (position, newest) if place is not None), default=None)
     if reached is None:
         return Load(inserted, None, rejected)

@@ -47,6 +47,10 @@ def test_json_is_written_compressed_in_files_of_a_bounded_size(spark, tmp_path,
     assert readers.read_cases_json(spark, str(tmp_path / "cases")).count() == df.count()
 
 
+def test_intermediate_tables_are_packed_closely(spark):
+    assert all(".zstd." in name for name in settle(spark.range(5), "test").inputFiles())
+
+
 def test_mixed_iso_times_and_empty_text(spark, tmp_path):
     path = tmp_path / "cases.csv"
     line = "e,A,P,,2025-01-06T07:00:01+00:00,2025-01-06T07:10:01.250000+00:00,2025-01-06T07:20:01+00:00,"
