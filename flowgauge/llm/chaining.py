@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,9 +116,12 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return np.cumsum(steps), salts.astype(np.int32), ids + least, starts
 
 
-def _seeds(texts: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
-    """part and packed seeds; a hash lies in one of ``parts`` parts, a common one in several by the salt of its document."""
-    sent = texts.sparkSession.sparkContext.broadcast(common)
+def _seeds(texts: DataFrame, common: np.ndarray, borders: np.ndarray, parts: int) -> DataFrame:
+    """part and packed seeds; a hash lies in one of ``parts`` parts, a common one in several by the salt of its document.
+
+    Salts count the ranges of doc_id between ``borders`` from 1, so the documents of one salt come before those of the next.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast((common, borders))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in joined(batches):
@@ -126,7 +129,8 @@ def _seeds(texts: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
             ids = np.repeat(batch.column(0).to_numpy(), [len(hashes) for hashes, _ in found])
             hashes = np.concatenate([hashes for hashes, _ in found])
             starts = np.concatenate([starts for _, starts in found])
-            salts = np.where(np.isin(hashes, sent.value), ids % SALTS + 1, 0).astype(np.int32)
+            common, borders = sent.value
+            salts = np.where(np.isin(hashes, common), np.searchsorted(borders, ids, side="right") + 1, 0).astype(np.int32)
             part = (mixed(hashes.view(np.uint64) + salts.astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
             order = np.argsort(part, kind="stable")
             numbers, lows = np.unique(part[order], return_index=True)
@@ -161,12 +165,18 @@ def _in_rows(seeds: DataFrame) -> DataFrame:
     return seeds.mapInArrow(unpack, "hash long, salt int, doc_id long, start int")
 
 
-def _common_seeds(texts: DataFrame, place: Scratch) -> np.ndarray:
-    """Hashes that many documents of a bounded sample hold. They are only dealt out differently."""
+def _common_seeds(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that many documents of a bounded sample hold, and borders of SALTS ranges of doc_id that hold like shares of it.
+
+    The sample decides only how the occurrences of these hashes are dealt out, not what they are matched with.
+    """
     share = min(1.0, SAMPLE_ROWS / max(1, texts.count()))
     sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    counts = _in_rows(_seeds(sample, np.empty(0, np.int64), 1)).groupBy("hash").agg(F.countDistinct("doc_id").alias("n"))
-    return np.sort(counts.filter(F.col("n") >= COMMON).select("hash").toArrow()["hash"].to_numpy())
+    nothing = np.empty(0, np.int64)
+    counts = _in_rows(_seeds(sample, nothing, nothing, 1)).groupBy("hash").agg(F.countDistinct("doc_id").alias("n"))
+    common = np.sort(counts.filter(F.col("n") >= COMMON).select("hash").toArrow()["hash"].to_numpy())
+    ids = np.sort(sample.select("doc_id").distinct().toArrow()["doc_id"].to_numpy())
+    return common, np.unique(ids[np.arange(1, SALTS) * len(ids) // SALTS]) if len(ids) else nothing
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
@@ -194,10 +204,11 @@ def _dealt(seeds: DataFrame) -> DataFrame:
     return seeds.repartition("hash", "salt").sortWithinPartitions(*order)
 
 
-def _matches(seeds: DataFrame) -> DataFrame:
-    """Each occurrence of a seed with the first one of its hash and salt, and with the last one of the document before.
+def _within_salts(seeds: DataFrame) -> DataFrame:
+    """Each occurrence of an unsalted seed with the first one of its hash, and with the last one of the document before.
 
-    ``source`` is null for the first occurrences of salted hashes themselves: these go on to be matched by hash alone.
+    Each occurrence of a salted seed stands in one row, with the last one of the document before in its salt; ``source`` is null in
+    the salt's first document.
     """
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,25 +229,52 @@ def _matches(seeds: DataFrame) -> DataFrame:
             before = np.where(opens > first, opens - 1, first)
             end = rows[-1]
             held = [column[np.unique([first[end], before[end], end])] for column in columns]
-            fresh = rows >= known
-            head = np.flatnonzero(new & (salts > 0) & fresh)
-            later = np.flatnonzero((ids[first] != ids) & fresh)
-            other = np.flatnonzero((ids[before] != ids) & (ids[before] != ids[first]) & fresh)
-            own = np.concatenate([head, later, other])
-            source = np.concatenate([head, first[later], before[other]])
-            is_head = np.arange(len(own)) < len(head)
+            fresh, alone = rows >= known, salts == 0
+            salted = np.flatnonzero(fresh & ~alone)
+            later = np.flatnonzero((ids[first] != ids) & fresh & alone)
+            other = np.flatnonzero((ids[before] != ids) & (ids[before] != ids[first]) & fresh & alone)
+            own = np.concatenate([salted, later, other])
+            source = np.concatenate([before[salted], first[later], before[other]])
+            none = ids[source] == ids[own]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(hashes[own]),
+                    pa.array(salts[own]),
                     pa.array(ids[own]),
                     pa.array(starts[own]),
-                    pa.array(ids[source], mask=is_head),
-                    pa.array(starts[source], mask=is_head),
+                    pa.array(ids[source], mask=none),
+                    pa.array(starts[source], mask=none),
                 ],
-                ["hash", "doc_id", "start", "source_id", "source_start"],
+                ["hash", "salt", "doc_id", "start", "source_id", "source_start"],
             )
 
-    return _dealt(seeds).mapInArrow(match, "hash long, doc_id long, start int, source_id long, source_start int")
+    return _dealt(seeds).mapInArrow(match, "hash long, salt int, doc_id long, start int, source_id long, source_start int")
+
+
+def _matches(seeds: DataFrame, place: Scratch | None = None) -> DataFrame:
+    """Each occurrence of a seed with the first one of its hash, and with the last one of the document before.
+
+    Salted seeds are matched within their salts first. Each salt's first and last occurrence then tell the others the first
+    one of the hash, and the salt's first document the last one of the salt before.
+    """
+    matched = _within_salts(seeds)
+    if place is not None:
+        matched = place.keep(matched, "matches")
+    salted = matched.filter("salt > 0")
+    occurrence = F.struct("doc_id", "start")
+    ends = salted.groupBy("hash", "salt").agg(F.min(occurrence).alias("first"), F.max(occurrence).alias("last"))
+    of_hash = Window.partitionBy("hash").orderBy("salt")  # a row for each salt
+    ends = ends.select("hash", "salt", F.first("first").over(of_hash).alias("first"), F.lag("last").over(of_hash).alias("passed_on"))
+    own = F.struct(F.col("source_id").alias("doc_id"), F.col("source_start").alias("start"))
+    before = F.when(F.col("source_id").isNotNull(), own).otherwise(F.col("passed_on"))
+    sources = F.array(
+        F.when(F.col("first.doc_id") != F.col("doc_id"), F.col("first")),
+        F.when(F.col("before.doc_id") != F.col("first.doc_id"), F.col("before")),
+    )
+    joined = salted.join(ends, ["hash", "salt"]).withColumn("before", before)
+    found = joined.select("hash", "doc_id", "start", F.explode(F.array_compact(sources)).alias("source"))
+    across = found.select("hash", "doc_id", "start", F.col("source.doc_id").alias("source_id"), F.col("source.start").alias("source_start"))
+    return matched.filter("salt = 0").drop("salt").unionByName(across)
 
 
 def chain(x: np.ndarray, y: np.ndarray, weight: float, least: int = 2) -> list[np.ndarray]:
@@ -445,9 +483,7 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     with scratch(spark, "chaining") as place:
         texts = documents.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null and text is not null")
         parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        matched = place.keep(_matches(_seeds(texts, _common_seeds(texts, place), parts)), "matches")
-        heads = matched.filter("source_id is null").select("hash", F.lit(0).alias("salt"), "doc_id", "start")
-        matches = matched.filter("source_id is not null").unionByName(_matches(heads))
+        matches = _matches(_seeds(texts, *_common_seeds(texts), parts), place)
         chains = place.keep(_chains(matches), "chains")
         return cut(_aligned(chains, texts))
 

@@ -128,6 +128,30 @@ def test_matches_equal_brute_force_over_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
 
 
+def test_salts_change_no_match(spark):
+    """Salts are ranges of doc_id, here of ten documents each; a third of the hashes have some."""
+    random_ = random.Random(9)
+    seeds = sorted({(random_.randrange(30), random_.randrange(60), random_.randrange(4)) for _ in range(900)})
+    schema = "hash long, salt int, doc_id long, start int"
+    plain = spark.createDataFrame([(key, 0, doc, start) for key, doc, start in seeds], schema)
+    salted = spark.createDataFrame([(key, doc // 10 + 1 if key % 3 == 0 else 0, doc, start) for key, doc, start in seeds], schema)
+    wanted, found = (sorted(tuple(row) for row in chaining._matches(given).collect()) for given in (plain, salted))
+    assert found == wanted and len(set(found)) == len(found) > 1000
+
+
+def test_the_sample_of_common_seeds_decides_on_no_source(spark, monkeypatch):
+    """A passage that many hold stands changed in the document before its last holder: that one is the second source."""
+    common = made_up(920, 80)
+    changed = " ".join(f"{word}q" if at % 10 == 4 else word for at, word in enumerate(common.split()))
+    texts = [f"{made_up(930 + at, 30)} {common if at % 8 == 0 else changed}" for at in range(90)]
+    given = frame(spark, texts)
+    rows = []
+    for least in (1_000_000, 2):
+        monkeypatch.setattr(chaining, "COMMON", least)
+        rows.append(sorted(tuple(row) for row in chaining.repeated_passages(given).collect()))
+    assert rows[0] == rows[1] and rows[0]
+
+
 def test_seeds_come_back_from_their_bytes():
     random_ = np.random.default_rng(3)
     for count in (1, 2, 1000):
