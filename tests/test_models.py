@@ -133,6 +133,12 @@ def test_the_search_ranks_settings_by_their_errors(spark, prepared):
     assert [row["mae_minutes"] for row in one] == sorted(row["mae_minutes"] for row in one)
 
 
+def test_rows_of_a_training_take_no_memory_from_the_trees(spark):
+    with models._kept(spark.range(10)) as held:
+        assert held.count() == 10 and held.storageLevel.useDisk and not held.storageLevel.useMemory
+    assert not held.storageLevel.useDisk
+
+
 def test_importances_of_the_trained_model_are_ranked(spark, prepared):
     fitted = models.train_discharge_predictor(*prepared, trees=5, depth=3)
     weights = fitted.first()["feature_importance"]
