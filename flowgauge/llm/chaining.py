@@ -397,13 +397,12 @@ def align(text: str, other: str, starts: np.ndarray, other_starts: np.ndarray, f
     the results count from the beginnings of the whole texts. Between seeds words are compared in step; where
     a gap is longer in one text, from both of its ends, and what is left over is unlike.
     """
-    spans, other_spans = ([m.span() for m in WORD.finditer(own)] for own in (text, other))
-    words = np.array([hash(text[a:b].lower()) for a, b in spans], np.int64)
-    others = np.array([hash(other[a:b].lower()) for a, b in other_spans], np.int64)
+    words, others = (np.array(list(map(hash, own.lower().split())), np.int64) for own in (text, other))
     if not len(words) or not len(others):
         return []
-    i = np.searchsorted([a for a, _ in spans], starts - first)
-    j = np.searchsorted([a for a, _ in other_spans], other_starts - other_first)
+    at_words, at_others = word_starts(text), word_starts(other)
+    i = np.searchsorted(at_words, starts - first)
+    j = np.searchsorted(at_others, other_starts - other_first)
     inside = (i < len(words)) & (j < len(others))
     i, j = i[inside], j[inside]
     if not len(i):
@@ -465,8 +464,8 @@ def align(text: str, other: str, starts: np.ndarray, other_starts: np.ndarray, f
             pending += [(low, a), (b, high)]
             like = partner[a:b][partner[a:b] >= 0]
             whole = max(b - a, int(like[-1] - like[0]) + 1)
-            ends = (spans[a][0] + first, spans[b - 1][1] + first)
-            other_ends = (other_spans[like[0]][0] + other_first, other_spans[like[-1]][1] + other_first)
+            ends = (int(at_words[a]) + first, WORD.match(text, int(at_words[b - 1])).end() + first)
+            other_ends = (int(at_others[like[0]]) + other_first, WORD.match(other, int(at_others[like[-1]])).end() + other_first)
             found.append((*ends, *other_ends, b - a, len(like) / whole))
     return found
 
