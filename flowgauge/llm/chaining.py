@@ -11,10 +11,9 @@ parts that agree in four words of five over fifty words or more are the repeated
 
 from __future__ import annotations
 
-import re
 import struct
-from bisect import bisect_left
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.llm.common import Scratch, cut, mixed, scratch, shingle_hashes, slices, unused_name, word_hashes
+from flowgauge.llm.common import Scratch, batches_of, cut, give_back, mixed, scratch, shingle_hashes, slices, unused_name, word_hashes
 
 SEED_WORDS = 4
 SEEDS = {SEED_WORDS: 2, 24: 27, 44: 7}  # words of a run: runs in a row of which the smallest hash is a seed
@@ -41,16 +40,24 @@ SAMPLE_ROWS = 4000  # documents, in expectation, in which common seeds are looke
 COMMON = 20  # of these, a seed in so many has its occurrences dealt over SALTS tasks
 SALTS = 64
 PACKED_BYTES = 4 << 20  # of text whose seeds are packed at once
+PART_BYTES = 8 << 20  # of text, in expectation, whose seeds a part holds at most
+MATCH_ROWS = 100_000  # matches that go on at once
+ALIGNED_CHARS = 1 << 20  # around chains that are aligned at once
+TEXTS = 1000  # in an Arrow batch
 
-WORD = re.compile(r"\S+")
 # What str.split() takes for white space.
 BLANK = np.zeros(0x3002, bool)
 BLANK[[*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = True
 
 
+def blanks(text: str) -> np.ndarray:
+    """Which code points are white space to ``text.split()``."""
+    return BLANK[np.minimum(np.frombuffer(text.encode("utf-32-le"), "<u4"), 0x3001)]
+
+
 def word_starts(text: str) -> np.ndarray:
     """Code points at which the words of ``text.split()`` begin."""
-    blank = BLANK[np.minimum(np.frombuffer(text.encode("utf-32-le"), "<u4"), 0x3001)]
+    blank = blanks(text)
     return np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
 
 
@@ -96,24 +103,65 @@ def seeds_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found).view(np.int64), np.concatenate(places)
 
 
+def pack(columns: list[np.ndarray]) -> bytes:
+    """Columns whose first one ascends as bytes: planes of the steps of the first and of the values of the others."""
+    planes = b"".join(
+        own.view(np.uint8).reshape(len(own), -1).T.tobytes() for own in (np.diff(columns[0], prepend=0), *map(np.ascontiguousarray, columns[1:]))
+    )
+    return struct.pack("<q", len(columns[0])) + zstandard.compress(planes, 1)
+
+
+def unpack(data: bytes, kinds: list[type]) -> list[np.ndarray]:
+    """Columns of ``pack``, of these kinds."""
+    (count,) = struct.unpack_from("<q", data)
+    planes = np.frombuffer(zstandard.decompress(data[8:]), np.uint8).reshape(-1, count)
+    columns, low = [], 0
+    for kind in kinds:
+        high = low + np.dtype(kind).itemsize
+        columns.append(np.ascontiguousarray(planes[low:high].T).view(kind).ravel())
+        low = high
+    return [np.cumsum(columns[0], dtype=kinds[0]), *columns[1:]]
+
+
 def packed(hashes: np.ndarray, salts: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> bytes:
-    """Seeds in ascending order of their hashes as bytes: planes of the steps between the hashes and of the other values."""
+    """Seeds in ascending order of their hashes as bytes."""
     order = np.argsort(hashes, kind="stable")
     least = int(ids.min())
-    columns = (np.diff(hashes[order], prepend=0), (ids[order] - least).astype(np.int64), starts[order], salts[order].astype(np.int8))
-    planes = b"".join(column.view(np.uint8).reshape(len(order), -1).T.tobytes() for column in columns)
-    return struct.pack("<qq", len(order), least) + zstandard.compress(planes, 1)
+    return struct.pack("<q", least) + pack([hashes[order], (ids[order] - least).astype(np.int64), starts[order], salts[order].astype(np.int8)])
 
 
 def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, salts, ids and starts of ``packed`` seeds."""
-    count, least = struct.unpack_from("<qq", data)
-    planes = np.frombuffer(zstandard.decompress(data[16:]), np.uint8).reshape(-1, count)
-    steps, ids, starts, salts = (
-        np.ascontiguousarray(planes[low:high].T).view(kind).ravel()
-        for low, high, kind in ((0, 8, np.int64), (8, 16, np.int64), (16, 20, np.int32), (20, 21, np.int8))
-    )
-    return np.cumsum(steps), salts.astype(np.int32), ids + least, starts
+    (least,) = struct.unpack_from("<q", data)
+    hashes, ids, starts, salts = unpack(data[8:], [np.int64, np.int64, np.int32, np.int8])
+    return hashes, salts.astype(np.int32), ids + least, starts
+
+
+def by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The numbers in ``part`` and the places of each."""
+    order = np.argsort(part, kind="stable")
+    numbers, lows = np.unique(part[order], return_index=True)
+    for number, low, high in zip(numbers.tolist(), lows, [*lows[1:], len(order)]):
+        yield number, order[low:high]
+
+
+def part_rows(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    numbers, data = zip(*found)
+    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(data, pa.binary())], ["part", "data"])
+
+
+def of_parts(batches: Iterator[pa.RecordBatch], read: Callable) -> Iterator[list[np.ndarray]]:
+    """All columns of one part after the other, from rows of parts and packed columns that are sorted by part."""
+    held, current = [], None
+    for batch in batches:
+        for number, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if held and number != current:
+                yield [np.concatenate(columns) for columns in zip(*held)]
+                held = []
+            current = number
+            held.append(read(data.as_py()))
+    if held:
+        yield [np.concatenate(columns) for columns in zip(*held)]
 
 
 def _seeds(texts: DataFrame, common: np.ndarray, borders: np.ndarray, parts: int) -> DataFrame:
@@ -132,11 +180,10 @@ def _seeds(texts: DataFrame, common: np.ndarray, borders: np.ndarray, parts: int
             common, borders = sent.value
             salts = np.where(np.isin(hashes, common), np.searchsorted(borders, ids, side="right") + 1, 0).astype(np.int32)
             part = (mixed(hashes.view(np.uint64) + salts.astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            numbers, lows = np.unique(part[order], return_index=True)
-            own = [order[low:high] for low, high in zip(lows, [*lows[1:], len(order)])]
-            data = [packed(hashes[at], salts[at], ids[at], starts[at]) for at in own]
-            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(data, pa.binary())], ["part", "data"])
+            rows = [(number, packed(hashes[at], salts[at], ids[at], starts[at])) for number, at in by_part(part)]
+            if rows:
+                yield part_rows(rows)
+        give_back()
 
     return texts.mapInArrow(find, "part int, data binary")
 
@@ -154,54 +201,54 @@ def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(waiting)
 
 
-def _in_rows(seeds: DataFrame) -> DataFrame:
-    """hash, salt, doc_id and start of packed seeds."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data in batch.column(batch.num_columns - 1):
-                yield pa.RecordBatch.from_arrays([pa.array(own) for own in unpacked(data.as_py())], ["hash", "salt", "doc_id", "start"])
-
-    return seeds.mapInArrow(unpack, "hash long, salt int, doc_id long, start int")
+def joined_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Small batches put together, so that each but the last has so many rows or more."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.concat_batches(waiting)
+            waiting, size = [], 0
+    if size:
+        yield pa.concat_batches(waiting)
 
 
-def _common_seeds(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _common_seeds(texts: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes that many documents of a bounded sample hold, and borders of SALTS ranges of doc_id that hold like shares of it.
 
     The sample decides only how the occurrences of these hashes are dealt out, not what they are matched with.
     """
-    share = min(1.0, SAMPLE_ROWS / max(1, texts.count()))
+    share = min(1.0, SAMPLE_ROWS / max(1, rows))
     sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     nothing = np.empty(0, np.int64)
-    counts = _in_rows(_seeds(sample, nothing, nothing, 1)).groupBy("hash").agg(F.countDistinct("doc_id").alias("n"))
-    common = np.sort(counts.filter(F.col("n") >= COMMON).select("hash").toArrow()["hash"].to_numpy())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, _, ids, _ in of_parts(batches, unpacked):
+            order = np.lexsort((ids, hashes))
+            hashes, ids = hashes[order], ids[order]
+            fresh = np.concatenate([[True], (np.diff(hashes) != 0) | (np.diff(ids) != 0)])
+            found, counts = np.unique(hashes[fresh], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found[counts >= COMMON])], ["hash"])
+
+    seeds = _seeds(sample, nothing, nothing, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    common = np.sort(seeds.repartition("part").sortWithinPartitions("part").mapInArrow(count, "hash long").toArrow()["hash"].to_numpy())
     ids = np.sort(sample.select("doc_id").distinct().toArrow()["doc_id"].to_numpy())
     return common, np.unique(ids[np.arange(1, SALTS) * len(ids) // SALTS]) if len(ids) else nothing
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
-    """Rows of batches sorted by their first ``keys`` columns, in pieces that split no key."""
-    held: list[np.ndarray] | None = None
-    for batch in batches:
-        columns = [batch.column(at).to_numpy() for at in range(batch.num_columns)]
-        held = columns if held is None else [np.concatenate(pair) for pair in zip(held, columns)]
-        if not len(held[0]):
-            continue
-        changes = np.flatnonzero(np.any([np.diff(column) != 0 for column in held[:keys]], axis=0)) + 1
-        if len(changes):
-            last = int(changes[-1])
-            yield [column[:last] for column in held]
-            held = [column[last:] for column in held]
-    if held is not None and len(held[0]):
-        yield held
+def _in_parts(seeds: DataFrame) -> DataFrame:
+    """Rows of hash, salt, doc_id and start as part and packed seeds."""
+    parts = int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                hashes, salts, ids, starts = (batch.column(at).to_numpy() for at in range(4))
+                part = mixed(hashes.view(np.uint64) + salts.astype(np.uint64)) % np.uint64(parts)
+                yield part_rows([(number, packed(hashes[at], salts[at], ids[at], starts[at])) for number, at in by_part(part)])
 
-def _dealt(seeds: DataFrame) -> DataFrame:
-    """Seeds as rows, the occurrences of one hash and salt behind each other by doc_id and start."""
-    order = ["hash", "salt", "doc_id", "start"]
-    if "part" in seeds.columns:
-        return _in_rows(seeds.repartition("part")).sortWithinPartitions(*order)
-    return seeds.repartition("hash", "salt").sortWithinPartitions(*order)
+    return seeds.select("hash", "salt", "doc_id", "start").mapInArrow(put, "part int, data binary")
 
 
 def _within_salts(seeds: DataFrame) -> DataFrame:
@@ -212,43 +259,45 @@ def _within_salts(seeds: DataFrame) -> DataFrame:
     """
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # of the key that goes on: its first row, the last one of the document before and the last one
-        for batch in batches:
-            if not batch.num_rows:
+        for hashes, salts, ids, starts in of_parts(batches, unpacked):
+            order = np.argsort(hashes, kind="stable")
+            same = np.diff(hashes[order]) == 0
+            order = order[np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (salts[order] > 0)]
+            order = order[np.lexsort((starts[order], ids[order], salts[order], hashes[order]))]
+            if not len(order):
                 continue
-            columns = [batch.column(at).to_numpy() for at in range(4)]
-            known = 0
-            if held is not None and (columns[0][0], columns[1][0]) == (held[0][0], held[1][0]):
-                known = len(held[0])
-                columns = [np.concatenate(pair) for pair in zip(held, columns)]
-            hashes, salts, ids, starts = columns
+            hashes, salts, ids, starts = (column[order] for column in (hashes, salts, ids, starts))
             rows = np.arange(len(ids))
             new = np.concatenate([[True], (np.diff(hashes) != 0) | (np.diff(salts) != 0)])
             first = np.maximum.accumulate(np.where(new, rows, 0))
             opens = np.maximum.accumulate(np.where(new | np.concatenate([[True], np.diff(ids) != 0]), rows, 0))
             before = np.where(opens > first, opens - 1, first)
-            end = rows[-1]
-            held = [column[np.unique([first[end], before[end], end])] for column in columns]
-            fresh, alone = rows >= known, salts == 0
-            salted = np.flatnonzero(fresh & ~alone)
-            later = np.flatnonzero((ids[first] != ids) & fresh & alone)
-            other = np.flatnonzero((ids[before] != ids) & (ids[before] != ids[first]) & fresh & alone)
+            alone = salts == 0
+            salted = np.flatnonzero(~alone)
+            later = np.flatnonzero((ids[first] != ids) & alone)
+            other = np.flatnonzero((ids[before] != ids) & (ids[before] != ids[first]) & alone)
             own = np.concatenate([salted, later, other])
             source = np.concatenate([before[salted], first[later], before[other]])
-            none = ids[source] == ids[own]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashes[own]),
-                    pa.array(salts[own]),
-                    pa.array(ids[own]),
-                    pa.array(starts[own]),
-                    pa.array(ids[source], mask=none),
-                    pa.array(starts[source], mask=none),
-                ],
-                ["hash", "salt", "doc_id", "start", "source_id", "source_start"],
-            )
-
-    return _dealt(seeds).mapInArrow(match, "hash long, salt int, doc_id long, start int, source_id long, source_start int")
+            for low in range(0, len(own), MATCH_ROWS):
+                at, to = own[low : low + MATCH_ROWS], source[low : low + MATCH_ROWS]
+                none = ids[to] == ids[at]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(hashes[at]),
+                        pa.array(salts[at]),
+                        pa.array(ids[at]),
+                        pa.array(starts[at]),
+                        pa.array(ids[to], mask=none),
+                        pa.array(starts[to], mask=none),
+                    ],
+                    ["hash", "salt", "doc_id", "start", "source_id", "source_start"],
+                )
+        give_back()
+
+    if "part" not in seeds.columns:
+        seeds = _in_parts(seeds)
+    dealt = seeds.repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(match, "hash long, salt int, doc_id long, start int, source_id long, source_start int")
 
 
 def _matches(seeds: DataFrame, place: Scratch | None = None) -> DataFrame:
@@ -345,9 +394,11 @@ def thinned(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     Between two matches of one diagonal the texts are compared in step, whatever matches lie between them.
     """
-    x, y = np.unique(np.stack([x, y]).astype(np.int64), axis=1)
+    x, y = x.astype(np.int64), y.astype(np.int64)
     order = np.lexsort((x, x - y))
     x, y = x[order], y[order]
+    fresh = np.concatenate([[True], (np.diff(x) != 0) | (np.diff(y) != 0)])
+    x, y = x[fresh], y[fresh]
     parted = (np.diff(x - y) != 0) | (np.diff(x) > STEP)
     ends = np.concatenate([[True], parted]) | np.concatenate([parted, [True]])
     kept = ends | np.concatenate([[True], np.diff(x // STEP) != 0])
@@ -359,82 +410,216 @@ def promising(chains: list[np.ndarray], x: np.ndarray, long_x: np.ndarray) -> li
 
     Four words that two texts share stand alone nearly always; a passage of fifty words has more of them, or a long run.
     """
-    return [
-        places for places in chains if x[places[-1]] - x[places[0]] >= APART or np.isin(x[places], long_x).any()
-    ]
+    long = np.isin(x, long_x)
+    return [places for places in chains if x[places[-1]] - x[places[0]] >= APART or long[places].any()]
+
+
+def stretch(starts: np.ndarray) -> tuple[int, int]:
+    """The text around a chain."""
+    return max(0, int(starts[0]) - MARGIN), int(starts[-1]) + MARGIN
+
+
+def _pieces(chains: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Beginnings and lengths of the stretches around chains, those that overlap or touch as one."""
+    firsts: list[int] = []
+    stops: list[int] = []
+    for first, stop in sorted(map(stretch, chains)):
+        if stops and first <= stops[-1]:
+            stops[-1] = max(stops[-1], stop)
+        else:
+            firsts.append(first)
+            stops.append(stop)
+    return firsts, [stop - first for first, stop in zip(firsts, stops)]
+
+
+PAIR_KINDS = [np.int64, np.int64, np.int32, np.int32, np.int8]
 
 
-def _chains(matches: DataFrame) -> DataFrame:
-    """Chains of seeds per pair of documents, as the starts of their seeds."""
-    schema = "doc_id long, source_id long, chain int, starts array<int>, source_starts array<int>"
+def _chains(matches: DataFrame, parts: int) -> DataFrame:
+    """A row for each pair of documents with chains: ``sizes`` of the chains, the starts of their seeds and the pieces of text around them."""
+    names = ["sizes", "starts", "source_starts", "firsts", "lengths", "source_firsts", "source_lengths"]
+    schema = "doc_id long, source_id long, " + ", ".join(f"{name} array<int>" for name in names)
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in joined_rows(batches, MATCH_ROWS):
+            ids, sources, starts, source_starts, hashes = (batch.column(at).to_numpy() for at in range(5))
+            columns = [ids, sources, starts, source_starts, (hashes & 1).astype(np.int8)]
+            part = mixed(mixed(ids.view(np.uint64)) + sources.view(np.uint64)) % np.uint64(parts)
+            rows = []
+            for number, at in by_part(part):
+                at = at[np.argsort(ids[at], kind="stable")]
+                rows.append((number, pack([column[at] for column in columns])))
+            yield part_rows(rows)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sources, starts, source_starts, hashes in _runs(batches, 2):
+        for columns in of_parts(batches, lambda data: unpack(data, PAIR_KINDS)):
+            order = np.lexsort(columns[3::-1])
+            ids, sources, starts, source_starts, long = (column[order] for column in columns)
             borders = np.concatenate([[0], np.flatnonzero((np.diff(ids) != 0) | (np.diff(sources) != 0)) + 1])
             ends = np.append(borders[1:], len(ids))
             spread = starts[ends - 1] - starts[borders]
-            wanted = np.flatnonzero((spread >= APART) | (np.maximum.reduceat(hashes & 1, borders) > 0))
+            wanted = np.flatnonzero((spread >= APART) | (np.maximum.reduceat(long, borders) > 0))
             rows: list[tuple] = []
+            size = 0
             for low, high in zip(borders[wanted].tolist(), ends[wanted].tolist()):
                 x, y = thinned(starts[low:high], source_starts[low:high])
-                long_x = starts[low:high][hashes[low:high] & 1 > 0]
-                for at, places in enumerate(promising(chain(x, y, WEIGHT, least=1), x, long_x)):
-                    rows.append((ids[low], sources[low], at, x[places], y[places]))
+                kept = promising(chain(x, y, WEIGHT, least=1), x, starts[low:high][long[low:high] > 0])
+                if not kept:
+                    continue
+                own, other = ([side[places] for places in kept] for side in (x, y))
+                sizes = [len(places) for places in kept]
+                rows.append((ids[low], sources[low], sizes, np.concatenate(own), np.concatenate(other), *_pieces(own), *_pieces(other)))
+                size += sum(sizes)
+                if size >= MATCH_ROWS:
+                    yield pair_rows(rows)
+                    rows, size = [], 0
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-                arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "source_id", "chain", "starts", "source_starts"])
+                yield pair_rows(rows)
+        give_back()
+
+    def pair_rows(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64()] * 2 + [pa.list_(pa.int32())] * len(names)
+        arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "source_id", *names])
+
+    sent = matches.select("doc_id", "source_id", "start", "source_start", "hash").mapInArrow(put, "part int, data binary")
+    return sent.repartition("part").sortWithinPartitions("part").mapInArrow(find, schema)
+
+
+PLACE_BITS = 40  # of a place in a text; the bits above them number the text
+
+
+class Words:
+    """Words of pieces of texts: their hashes, starts and ends, counted from the beginning of each whole text."""
 
-    columns = ["doc_id", "source_id", "start", "source_start"]
-    dealt = matches.select(*columns, "hash").repartition("doc_id", "source_id").sortWithinPartitions(*columns)
-    return dealt.mapInArrow(find, schema)
+    def __init__(self, texts: list[tuple[list[int], list[str]]]):
+        self.firsts = [(at << PLACE_BITS) + first for at, (firsts, _) in enumerate(texts) for first in firsts]
+        self.pieces = [piece for _, pieces in texts for piece in pieces]
+        starts, ends, hashes = [], [], []
+        for first, text in zip(self.firsts, self.pieces):
+            blank = np.concatenate([[True], blanks(text), [True]])
+            starts.append(np.flatnonzero(blank[:-1] & ~blank[1:]) + first)
+            ends.append(np.flatnonzero(~blank[:-1] & blank[1:]) + first)
+            hashes += map(hash, text.lower().split())
+        self.starts, self.ends, self.hashes = np.concatenate(starts), np.concatenate(ends), np.array(hashes, np.int64)
 
+    def text(self, start: int, end: int) -> str:
+        at = bisect_right(self.firsts, start) - 1
+        return self.pieces[at][start - self.firsts[at] : end - self.firsts[at]]
 
-def align(text: str, other: str, starts: np.ndarray, other_starts: np.ndarray, first: int, other_first: int) -> list[tuple]:
-    """Agreeing passages along a chain: start, end, other start, other end, words and likeness.
 
-    ``text`` and ``other`` are stretches of two texts that begin at ``first`` and ``other_first``; the chain's starts and
-    the results count from the beginnings of the whole texts. Between seeds words are compared in step; where
-    a gap is longer in one text, from both of its ends, and what is left over is unlike.
+class Stretches:
+    """Words of stretches of a text behind each other, the words at their ends as far as they lie inside."""
+
+    def __init__(self, words: Words, firsts: np.ndarray, stops: np.ndarray):
+        self.low = np.searchsorted(words.ends, firsts, side="right")
+        self.counts = np.maximum(0, np.searchsorted(words.starts, stops) - self.low)
+        self.offsets = np.cumsum(self.counts) - self.counts
+        at = ranges(self.low, self.counts)
+        self.starts = np.maximum(words.starts[at], np.repeat(firsts, self.counts))
+        self.ends = np.minimum(words.ends[at], np.repeat(stops, self.counts))
+        self.hashes = words.hashes[at]
+        for place in np.flatnonzero((self.starts > words.starts[at]) | (self.ends < words.ends[at])).tolist():
+            self.hashes[place] = hash(words.text(int(self.starts[place]), int(self.ends[place])).lower())
+
+
+def ranges(lows: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts`` numbers from each of ``lows`` on, behind each other."""
+    return np.arange(int(counts.sum())) + np.repeat(lows - (np.cumsum(counts) - counts), counts)
+
+
+def align(own: Words, other: Words, chains: list[tuple[list[int], list[int], list[int]]]) -> list[list[tuple]]:
+    """For each pair of texts the passages along its chains: start, end, other start, other end, words and likeness.
+
+    A pair's chains are given by their numbers of seeds and the starts of the seeds in both texts. Chains with ALIGNED_CHARS of
+    text around them are compared at once, whatever pairs they are of.
     """
-    words, others = (np.array(list(map(hash, own.lower().split())), np.int64) for own in (text, other))
-    if not len(words) or not len(others):
-        return []
-    at_words, at_others = word_starts(text), word_starts(other)
-    i = np.searchsorted(at_words, starts - first)
-    j = np.searchsorted(at_others, other_starts - other_first)
-    inside = (i < len(words)) & (j < len(others))
-    i, j = i[inside], j[inside]
+    pair = np.repeat(np.arange(len(chains)), [len(sizes) for sizes, _, _ in chains]) << PLACE_BITS  # of each chain
+    sizes, starts, other_starts = (np.concatenate([np.array(values, np.int64) for values in side]) for side in zip(*chains))
+    ends = np.cumsum(sizes)
+    opens = ends - sizes
+    firsts, stops = np.maximum(0, starts[opens] - MARGIN) + pair, starts[ends - 1] + MARGIN + pair
+    other_firsts, other_stops = np.maximum(0, other_starts[opens] - MARGIN) + pair, other_starts[ends - 1] + MARGIN + pair
+    group = np.cumsum(stops - firsts + other_stops - other_firsts) // ALIGNED_CHARS
+    borders = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
+    found: list[list[tuple]] = [[] for _ in chains]
+    for low, high in zip(borders, borders[1:]):
+        sides = Stretches(own, firsts[low:high], stops[low:high]), Stretches(other, other_firsts[low:high], other_stops[low:high])
+        chain_of = np.repeat(np.arange(high - low), sizes[low:high])
+        inner = slice(opens[low], ends[high - 1])
+        base = pair[low:high][chain_of]
+        i = np.searchsorted(own.starts, starts[inner] + base) - sides[0].low[chain_of]
+        j = np.searchsorted(other.starts, other_starts[inner] + base) - sides[1].low[chain_of]
+        for span in compared(*sides, chain_of, i, j):
+            at = span[0] >> PLACE_BITS
+            found[at].append((*(place - (at << PLACE_BITS) for place in span[:4]), *span[4:]))
+    return found
+
+
+def compared(own: Stretches, other: Stretches, chain_of: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple]:
+    """Passages along the chains through the words ``i`` and ``j`` of stretches.
+
+    Between seeds words are compared in step; where a gap is longer in one text, from both of its ends, and what is left over is unlike.
+    """
+    inside = (i < own.counts[chain_of]) & (j < other.counts[chain_of])
+    chain_of, i, j = chain_of[inside], i[inside], j[inside]
     if not len(i):
         return []
-    partner = np.full(len(words), -1, np.int64)  # the like word of the other text
-    extra = np.zeros(len(words), np.int64)  # words of the other text left out just before
-
-    def compare(at: int, other_at: int, count: int) -> None:
-        like = words[at : at + count] == others[other_at : other_at + count]
-        partner[at : at + count] = np.where(like, np.arange(other_at, other_at + count), -1)
-
-    lead = int(min(i[0], j[0]))
-    compare(int(i[0]) - lead, int(j[0]) - lead, lead)
-    for a, b, next_a, next_b in zip(i.tolist(), j.tolist(), [*i[1:].tolist(), -1], [*j[1:].tolist(), -1]):
-        if next_a < 0:
-            count = min(len(words) - a, len(others) - b)
-            compare(a, b, count)
-        elif next_a - a == next_b - b:
-            compare(a, b, next_a - a)
-        else:
-            count = max(0, min(next_a - a, next_b - b))
-            like = words[a : a + count] == others[b : b + count]
-            ahead = count if like.all() else int(like.argmin())
-            compare(a, b, ahead)
-            left = count - ahead
-            back = words[next_a - left : next_a] == others[next_b - left : next_b]
-            behind = left if back.all() else int(back[::-1].argmin())
-            compare(next_a - behind, next_b - behind, behind)
-            extra[next_a - behind] += max(0, (next_b - b) - (next_a - a))
+    changes = np.diff(chain_of) != 0
+    opens, closes = np.concatenate([[True], changes]), np.concatenate([changes, [True]])
+
+    def unlike(chains: np.ndarray, a: np.ndarray, b: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Places, of all words compared, of those that differ."""
+        return np.flatnonzero(own.hashes[ranges(own.offsets[chains] + a, count)] != other.hashes[ranges(other.offsets[chains] + b, count)])
+
+    lead = np.minimum(i, j)[opens]
+    rest = np.minimum(own.counts[chain_of] - i, other.counts[chain_of] - j)[closes]
+    at = np.flatnonzero(~closes)
+    chains, a, b, next_a, next_b = chain_of[at], i[at], j[at], i[at + 1], j[at + 1]
+    even = next_a - a == next_b - b
+    steps = [
+        (chain_of[opens], i[opens] - lead, j[opens] - lead, lead),
+        (chain_of[closes], i[closes], j[closes], rest),
+        (chains[even], a[even], b[even], (next_a - a)[even]),
+    ]
+    extra = np.zeros(len(own.hashes), np.int64)  # words of the other text left out just before
+    chains, a, b, next_a, next_b = (side[~even] for side in (chains, a, b, next_a, next_b))
+    count = np.maximum(0, np.minimum(next_a - a, next_b - b))
+    begins, places = np.cumsum(count) - count, unlike(chains, a, b, count)
+    ahead = np.minimum(np.append(places, len(own.hashes) + count.sum())[np.searchsorted(places, begins)] - begins, count)
+    left = count - ahead
+    stops, places = np.cumsum(left), unlike(chains, next_a - left, next_b - left, left)
+    behind = np.minimum(stops - 1 - np.concatenate([[-1], places])[np.searchsorted(places, stops)], left)
+    steps += [(chains, a, b, ahead), (chains, next_a - behind, next_b - behind, behind)]
+    np.add.at(extra, own.offsets[chains] + next_a - behind, np.maximum(0, (next_b - b) - (next_a - a)))
+
+    chains, a, b, count = map(np.concatenate, zip(*steps))
+    words, others = ranges(own.offsets[chains] + a, count), ranges(other.offsets[chains] + b, count)
+    like = own.hashes[words] == other.hashes[others]
+    partner = np.full(len(own.hashes), -1, np.int64)  # the like word of the other text
+    partner[words[like]] = others[like]
     cost = LIKENESS / (1 - LIKENESS)
     agrees, missing = partner >= 0, extra * cost
     gains = np.where(agrees, 1.0, -cost) - missing
+    agreeing = np.concatenate([[0], np.cumsum(agrees)])
+    lows, highs = own.offsets, own.offsets + own.counts
+    found = []
+    for at in np.flatnonzero(agreeing[highs] - agreeing[lows] >= LIKENESS * LEAST_WORDS).tolist():
+        for a, b in passages(int(lows[at]), int(highs[at]), gains, missing, agrees, agreeing):
+            met = partner[a:b][agrees[a:b]]
+            whole = max(b - a, int(met[-1] - met[0]) + 1)
+            ends = (int(own.starts[a]), int(own.ends[b - 1]), int(other.starts[met[0]]), int(other.ends[met[-1]]))
+            found.append((*ends, b - a, len(met) / whole))
+    return found
+
+
+def passages(
+    low: int, high: int, gains: np.ndarray, missing: np.ndarray, agrees: np.ndarray, agreeing: np.ndarray
+) -> Iterator[tuple[int, int]]:
+    """Borders of the passages between two words; ``agreeing`` counts the like words before each.
+
+    Where fewer words agree than the shortest passage needs, there is none.
+    """
 
     def longest(low: int, high: int) -> tuple[int, int]:
         """The longest passage of the likeness wanted that begins and ends with like words."""
@@ -445,11 +630,10 @@ def align(text: str, other: str, starts: np.ndarray, other_starts: np.ndarray, f
         end = int(lengths.argmax())
         return low + int(first[end]), low + end + 1
 
-    found = []
-    pending = [(0, len(gains))]
+    pending = [(low, high)]
     while pending:
         low, high = pending.pop()
-        if high - low < LEAST_WORDS:
+        if high - low < LEAST_WORDS or agreeing[high] - agreeing[low] < LIKENESS * LEAST_WORDS:
             continue
         sums = np.concatenate([[0.0], np.cumsum(gains[low:high])])
         risen = sums - np.minimum.accumulate(sums)
@@ -462,12 +646,7 @@ def align(text: str, other: str, starts: np.ndarray, other_starts: np.ndarray, f
             a, b = longest(low, high)
         if b - a >= LEAST_WORDS:
             pending += [(low, a), (b, high)]
-            like = partner[a:b][partner[a:b] >= 0]
-            whole = max(b - a, int(like[-1] - like[0]) + 1)
-            ends = (int(at_words[a]) + first, WORD.match(text, int(at_words[b - 1])).end() + first)
-            other_ends = (int(at_others[like[0]]) + other_first, WORD.match(other, int(at_others[like[-1]])).end() + other_first)
-            found.append((*ends, *other_ends, b - a, len(like) / whole))
-    return found
+            yield a, b
 
 
 def repeated_passages(documents: DataFrame) -> DataFrame:
@@ -481,10 +660,14 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     with scratch(spark, "chaining") as place:
         texts = documents.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null and text is not null")
-        parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        matches = _matches(_seeds(texts, *_common_seeds(texts), parts), place)
-        chains = place.keep(_chains(matches), "chains")
-        return cut(_aligned(chains, texts))
+        rows, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+        parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES)
+        with batches_of(spark, TEXTS):
+            seeds = _seeds(texts, *_common_seeds(texts, rows), parts)
+            matches = _matches(seeds, place)
+        chains = place.keep(_chains(matches, parts), "chains")
+        with batches_of(spark, TEXTS):
+            return cut(_aligned(chains, texts))
 
 
 def covering(rows: list[tuple]) -> list[tuple]:
@@ -524,27 +707,25 @@ def outermost(rows: list[tuple]) -> list[tuple]:
     return kept
 
 
-def _stretch(starts: str) -> tuple:
-    first = F.greatest(F.lit(0), F.element_at(starts, 1) - MARGIN)
-    return first, F.element_at(starts, -1) + MARGIN - first
-
-
 def _aligned(chains: DataFrame, texts: DataFrame) -> DataFrame:
-    """Passages along the chains. Each text is read once and only the stretches that chains need go on."""
-    key = ["doc_id", "source_id", "chain"]
-    needs = []
-    for side, (owner, starts) in enumerate((("doc_id", "starts"), ("source_id", "source_starts"))):
-        first, length = _stretch(starts)
-        needs.append(
-            chains.select(
-                *key, F.lit(side).alias("side"), F.col(owner).alias("owner"), F.col(starts).alias("places"),
-                first.alias("first"), length.alias("length"),
-            )
-        )
-    wanted = needs[0].unionByName(needs[1])
+    """Passages along the chains. Each text is read once and only the pieces that chains need go on."""
+    none = F.lit(None).cast("array<int>")
+    sides = [
+        chains.select(
+            "doc_id", "source_id", F.lit(0).alias("side"), F.col("doc_id").alias("owner"), "sizes", "starts", "source_starts",
+            "firsts", "lengths",
+        ),
+        chains.select(
+            "doc_id", "source_id", F.lit(1).alias("side"), F.col("source_id").alias("owner"), none.alias("sizes"), none.alias("starts"),
+            none.alias("source_starts"), F.col("source_firsts").alias("firsts"), F.col("source_lengths").alias("lengths"),
+        ),
+    ]
     owned = texts.select(F.col("doc_id").alias("owner"), "text")
-    stretches = wanted.join(owned, "owner").select(
-        *key, "side", "places", "first", F.col("text").substr(F.col("first") + 1, F.col("length")).alias("stretch")
+    pieces = F.transform(
+        F.arrays_zip("firsts", "lengths"), lambda piece: F.col("text").substr(piece["firsts"] + 1, piece["lengths"])
+    )
+    stretches = sides[0].unionByName(sides[1]).join(owned, "owner").select(
+        "doc_id", "source_id", "side", "sizes", "starts", "source_starts", "firsts", pieces.alias("pieces")
     )
     schema = (
         "doc_id long, start long, end long, source_id long, source_start long, source_end long, n_words long, likeness double"
@@ -553,26 +734,31 @@ def _aligned(chains: DataFrame, texts: DataFrame) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict | None = None
         owner, held = None, []
-        for batch in slices(batches):
-            rows = []
+        for batch in slices(batches, rows=64):
+            pairs, rows = [], []
             for row in batch.to_pylist():
-                if row["side"] == 0 or waiting is None or any(row[name] != waiting[name] for name in key):
-                    waiting = row if row["side"] == 0 else None
-                    continue
-                places, others = np.array(waiting["places"]), np.array(row["places"])
-                found = align(waiting["stretch"], row["stretch"], places, others, waiting["first"], row["first"])
-                if owner != row["doc_id"]:
+                if row["side"] == 0:
+                    waiting = row
+                elif waiting is not None and (row["doc_id"], row["source_id"]) == (waiting["doc_id"], waiting["source_id"]):
+                    pairs.append((waiting, row))
+                    waiting = None
+            if not pairs:
+                continue
+            own, other = (Words([(row["firsts"], row["pieces"]) for row in side]) for side in zip(*pairs))
+            every = align(own, other, [(row["sizes"], row["starts"], row["source_starts"]) for row, _ in pairs])
+            for at, ((row, _), found) in enumerate(zip(pairs, every)):
+                doc_id, source_id, base = row["doc_id"], row["source_id"], at << PLACE_BITS
+                if owner != doc_id:
                     rows += outermost(held)
-                    owner, held = row["doc_id"], []
-                first, other = row["first"], row["stretch"]
-                for a, b, c, d, n, like in found:
-                    said = tuple(other[c - first : d - first].lower().split())
-                    held.append((row["doc_id"], a, b, row["source_id"], c, d, n, like, hash(said)))
-                waiting = None
+                    owner, held = doc_id, []
+                for _, a, b, _, c, d, n, like in covering([(doc_id, *span[:2], source_id, *span[2:]) for span in found]):
+                    said = tuple(other.text(base + c, base + d).lower().split())
+                    held.append((doc_id, a, b, source_id, c, d, n, like, hash(said)))
             if rows:
                 yield filled(rows)
         if held:
             yield filled(outermost(held))
+        give_back()
 
     def filled(rows: list[tuple]) -> pa.RecordBatch:
         kinds = [pa.int64()] * 7 + [pa.float64()]
@@ -580,7 +766,7 @@ def _aligned(chains: DataFrame, texts: DataFrame) -> DataFrame:
         names = ["doc_id", "start", "end", "source_id", "source_start", "source_end", "n_words", "likeness"]
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    paired = stretches.repartition("doc_id").sortWithinPartitions(*key, "side", "stretch")
+    paired = stretches.repartition("doc_id").sortWithinPartitions("doc_id", "source_id", "side", "pieces")
     return paired.mapInArrow(meet, schema)
 
 

@@ -190,3 +190,27 @@ def test_smallest_hashes_of_windows_equal_brute_force():
             windows = [range(at, min(count, at + window)) for at in range(max(1, count - window + 1))]
             wanted = {at for own in windows for at in own if hashes[at] == min(hashes[other] for other in own)}
             assert set(chaining.smallest_in_windows(hashes, window).tolist()) == wanted
+
+
+def test_a_pair_goes_on_as_one_row_however_often_its_text_repeats_itself(spark):
+    """One word many times over makes a chain at nearly every place; the texts go on once for all of them."""
+    texts = [f"{made_up(950 + at, 60)} {' '.join(['again'] * (200 + 100 * at))} {made_up(960 + at, 60)}" for at in range(2)]
+    given = frame(spark, texts).select("doc_id", "text")
+    nothing = np.empty(0, np.int64)
+    rows = chaining._chains(chaining._matches(chaining._seeds(given, nothing, nothing, 4)), 4).collect()
+    assert len(rows) == 1 and len(rows[0].sizes) > 100
+    assert sum(rows[0].lengths) < 2 * len(texts[1]) and sum(rows[0].source_lengths) < 2 * len(texts[0]) + 2 * chaining.MARGIN
+
+
+def test_pairs_aligned_together_equal_each_alone():
+    pairs, chains = [], []
+    for at in range(12):
+        passage = made_up(970 + at, 70 + 20 * at)
+        own, other = (f"{made_up(1000 + 2 * at + side, 30 * at)} {passage if side else mutated(passage, 0.05, 990 + at)}".strip() for side in range(2))
+        places = [len(text) - len(text.split(" ", 30 * at)[-1]) for text in (own, other)]
+        first, other_first = (max(0, place - chaining.MARGIN) for place in places)
+        pairs.append((([first], [own[first : places[0] + chaining.MARGIN]]), ([other_first], [other[other_first : places[1] + chaining.MARGIN]])))
+        chains.append(([1], places[:1], places[1:]))
+    together = chaining.align(*(chaining.Words(list(side)) for side in zip(*pairs)), chains)
+    alone = [chaining.align(chaining.Words([own]), chaining.Words([other]), [chain])[0] for (own, other), chain in zip(pairs, chains)]
+    assert together == alone and all(found and found[0][4] >= 50 for found in together)
