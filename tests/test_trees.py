@@ -106,3 +106,15 @@ def test_trainings_hold_codes_and_not_points(spark, monkeypatch):
     rows = rows.withColumns({"case_status": F.lit("completed"), "dur_postop_to_discharge": F.col("dur_total")})
     assert models.train_recovery_classifier(rows, ["asa_class"], trees=2, depth=2).count() == 1
     assert len(models.model_search(rows, ["asa_class"], [{"n_estimators": 2, "max_depth": 2, "learning_rate": 0.1}]).collect()) == 1
+
+
+@pytest.mark.parametrize("count", [14_000, 40_000])
+def test_splits_are_looked_for_in_the_rows_that_mllib_draws(spark, count):
+    rng = np.random.default_rng(5)
+    made = zip(rng.integers(0, 12, count).tolist(), np.round(rng.exponential(9, count)).tolist(), rng.normal(size=count).tolist(), strict=True)
+    rows = spark.createDataFrame(list(made), "kind int, a double, b double").withColumn("same", F.lit(1.0))
+    rows = rows.withColumn("label", F.col("a") * 2 + F.col("b") * F.col("kind")).repartition(3, "b").cache()
+    theirs = GBTRegressor(maxDepth=3, maxIter=2, maxBins=64, seed=42).fit(assembled(rows)).transform(assembled(rows))
+    with trees.training(rows, count, FEATURES, ARITY, 64, 42) as held:
+        ours = held.boost(trees=2, depth=3, shrinkage=0.1, seed=42)
+    assert scores(ours, rows) == pytest.approx([row[0] for row in theirs.select("prediction").collect()], abs=1e-9)
